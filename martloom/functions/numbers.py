@@ -29,13 +29,13 @@ def money(amount_in_cents: Column) -> Column:
     return amount_in_cents / F.lit(100.0)
 
 
-def ratio(part: Column, whole: Column, scale: float = 1.0, digits: int = 4) -> Column:
-    """``scale * part / whole`` as a rounded double; null when ``whole`` is zero or null."""
-    return F.round(F.try_divide(part.cast("double") * F.lit(scale), whole.cast("double")), digits)
+def ratio(part: Column, whole: Column, scale: float = 1.0) -> Column:
+    """``scale * part / whole`` as a double; null when ``whole`` is zero or null."""
+    return F.try_divide(part.cast("double") * F.lit(scale), whole.cast("double"))
 
 
-def mean_money(total_cents: Column, count: Column, digits: int = 4) -> Column:
-    return F.round(F.try_divide(money(total_cents), count.cast("double")), digits)
+def mean_money(total_cents: Column, count: Column) -> Column:
+    return ratio(money(total_cents), count)
 
 
 def display(number: Column, digits: int = 0) -> Column:

@@ -14,7 +14,8 @@ from martloom.sources.staging import stage
 CATEGORICAL = ("Customer_Category", "City", "Store_Type", "Payment_Method", "Season", "Promotion")
 QUARTILES = (0.25, 0.5, 0.75)
 
-_ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _stacked(df: DataFrame, columns: tuple[str, ...] | list[str], name: str, value: Column) -> DataFrame:
@@ -24,7 +25,7 @@ def _stacked(df: DataFrame, columns: tuple[str, ...] | list[str], name: str, val
 
 
 def shape(df: DataFrame) -> DataFrame:
-    return df.agg(_ROWS.alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))
+    return df.agg(_rows().alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,7 +54,7 @@ def exact_quantiles(df: DataFrame, column: str, shares: tuple[float, ...] = QUAR
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value"))
     placed = stage(
-        counted.agg(_ROWS.alias("n"))
+        counted.agg(_rows().alias("n"))
         .repartitionByRange("value")
         .withColumn("part", F.spark_partition_id()),
         f"quantiles-{column}",
@@ -132,7 +133,7 @@ def value_distribution(df: DataFrame, columns: tuple[str, ...] = CATEGORICAL, to
     """The most frequent values of each column, null being one of them."""
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("column_value")) for c in columns]
     counted = (
-        df.select(F.inline(F.array(*pairs))).groupBy("column_name", "column_value").agg(_ROWS.alias("value_count"))
+        df.select(F.inline(F.array(*pairs))).groupBy("column_name", "column_value").agg(_rows().alias("value_count"))
     )
     place = F.row_number().over(
         Window.partitionBy("column_name").orderBy(F.desc("value_count"), F.asc_nulls_first("column_value"))
@@ -154,7 +155,7 @@ def _products(df: DataFrame) -> DataFrame:
 
 
 def top_products(df: DataFrame, n: int = 20) -> DataFrame:
-    counted = _products(df).groupBy("Product_Name").agg(_ROWS.alias("times_listed"))
+    counted = _products(df).groupBy("Product_Name").agg(_rows().alias("times_listed"))
     return counted.orderBy(F.desc("times_listed"), "Product_Name").limit(n)
 
 
@@ -165,7 +166,7 @@ def distinct_products(df: DataFrame) -> DataFrame:
 def _sales_stats(df: DataFrame, column: str) -> DataFrame:
     total, counted = F.sum(cents(F.col("Total_Cost"))), F.count("Total_Cost")
     return df.groupBy(column).agg(
-        _ROWS.alias("sale_count"),
+        _rows().alias("sale_count"),
         mean_money(total, counted).alias("average_cost"),
         money(total).alias("total_cost"),
     )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.functions.numbers import cents, mean_money, ratio
 
-_ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -31,17 +32,17 @@ def missing_values(sales: DataFrame, products: DataFrame) -> DataFrame:
 def null_percentages(sales: DataFrame) -> DataFrame:
     shown = {"Customer_Key": "PctNull_Customer", "Store_Key": "PctNull_Store", "Promotion_Key": "PctNull_Promotion"}
     return sales.agg(
-        *[ratio(F.count_if(F.col(k).isNull()), _ROWS, 100.0).alias(name) for k, name in shown.items()]
+        *[ratio(F.count_if(F.col(k).isNull()), _rows(), 100.0).alias(name) for k, name in shown.items()]
     )
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(_ROWS.alias("Occurrences")).filter("Occurrences > 1")
+    return df.groupBy(key).agg(_rows().alias("Occurrences")).filter("Occurrences > 1")
 
 
 def orphans(sales: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
     """Sales whose key, null included, has no dimension member; counted per key, then matched."""
-    per_key = sales.groupBy(key).agg(_ROWS.alias("n"))
+    per_key = sales.groupBy(key).agg(_rows().alias("n"))
     lost = per_key.join(dim.select(key), key, "left_anti")
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
 
@@ -60,12 +61,12 @@ def purchases_per_product_key(bridge: DataFrame) -> DataFrame:
 
 
 def members_by(dim: DataFrame, columns: list[str], name: str) -> DataFrame:
-    return dim.groupBy(*columns).agg(_ROWS.alias(name))
+    return dim.groupBy(*columns).agg(_rows().alias(name))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return _stack(
-        [t.agg(_ROWS.alias("RowsCount")).withColumn("TableName", F.lit(n)) for n, t in tables.items()]
+        [t.agg(_rows().alias("RowsCount")).withColumn("TableName", F.lit(n)) for n, t in tables.items()]
     ).select("TableName", "RowsCount")
 
 
@@ -91,6 +92,6 @@ def surplus_keys(dims: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for name, dim in dims.items():
         key = schemas.required(name)[0]
-        surplus = (_ROWS - F.countDistinct(key)).alias("Duplicates")
+        surplus = (_rows() - F.countDistinct(key)).alias("Duplicates")
         parts.append(dim.agg(surplus).withColumn("TableName", F.lit(name)))
     return _stack(parts).select("TableName", "Duplicates")

@@ -76,8 +76,8 @@ def product_pairs(star: Star, n: int = 10, wide: int = WIDE_BASKET) -> DataFrame
             F.col("p1.Product_Name").alias("Product1"),
             F.col("p2.Product_Name").alias("Product2"),
             F.col("n").alias("Pair_Trans_Count"),
-            ratio(pair, total, 100.0, 2).alias("Support_Pct"),
-            ratio(pair, F.col("p1.sold"), 100.0, 2).alias("Confidence_Pct"),
+            F.round(ratio(pair, total, 100.0), 2).alias("Support_Pct"),
+            F.round(ratio(pair, F.col("p1.sold"), 100.0), 2).alias("Confidence_Pct"),
             F.round(lift, 2).alias("Lift"),
         )
         .orderBy(F.desc("Lift"), "Product1", "Product2")

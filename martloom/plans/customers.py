@@ -39,7 +39,7 @@ def retention(star: Star) -> DataFrame:
     # At most five rows reach this window.
     everyone = F.sum("Num_Customers").over(Window.partitionBy())
     return (
-        bands.withColumn("Pct_Of_Total", ratio(F.col("Num_Customers"), everyone, 100.0, 2))
+        bands.withColumn("Pct_Of_Total", ratio(F.col("Num_Customers"), everyone, 100.0))
         .orderBy("fewest")
         .select("Customer_Segment", "Num_Customers", "Pct_Of_Total")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import display, mean_money, money, ratio
 from martloom.plans.star import Star, figures, sales_by
 
-_REVENUE = money(F.col("cents"))
+def _revenue() -> Column:
+    return money(F.col("cents"))
 
 
 def _ranked(df: DataFrame, by: str, *names: str, ascending: bool = False) -> DataFrame:
@@ -21,7 +22,7 @@ def _ranked(df: DataFrame, by: str, *names: str, ascending: bool = False) -> Dat
 
 
 def total_revenue(star: Star) -> DataFrame:
-    return star.FactSales.agg(*figures()).select(_REVENUE.alias("Total_Revenue"))
+    return star.FactSales.agg(*figures()).select(_revenue().alias("Total_Revenue"))
 
 
 def total_transactions(star: Star) -> DataFrame:
@@ -44,7 +45,7 @@ def headline_texts(star: Star) -> DataFrame:
     """The four headline figures as display text, one row each."""
     totals = star.FactSales.agg(*figures(), F.countDistinct("Transaction_ID").alias("ids"))
     rows = {
-        "Total Revenue": display(_REVENUE, 0),
+        "Total Revenue": display(_revenue(), 0),
         "Total Transactions": display(F.col("ids"), 0),
         "Average Order Value": display(mean_money(F.col("cents"), F.col("costed")), 2),
         "Avg Basket Size": display(ratio(F.col("items"), F.col("counted")), 2),
@@ -57,7 +58,7 @@ def headline_texts(star: Star) -> DataFrame:
 
 
 def revenue_by(star: Star, *attributes: str) -> DataFrame:
-    return sales_by(star, *attributes).select(*attributes, _REVENUE.alias("Revenue"))
+    return sales_by(star, *attributes).select(*attributes, _revenue().alias("Revenue"))
 
 
 def revenue_by_period(star: Star, *attributes: str) -> DataFrame:
@@ -83,17 +84,17 @@ def top_customers(star: Star, n: int = 10) -> DataFrame:
 def segment_contribution(star: Star) -> DataFrame:
     """Share of each customer category in the revenue of all of them."""
     by_segment = sales_by(star, "Customer_Category").select("Customer_Category", "cents")
-    whole = by_segment.agg(F.sum("cents")).scalar()
+    whole = by_segment.agg(money(F.sum("cents"))).scalar()
     return by_segment.select(
         "Customer_Category",
-        _REVENUE.alias("Revenue"),
-        ratio(F.col("cents"), whole, 100.0).alias("Contribution_Pct"),
+        _revenue().alias("Revenue"),
+        ratio(_revenue(), whole, 100.0).alias("Contribution_Pct"),
     )
 
 
 def top_cities(star: Star, n: int = 5) -> DataFrame:
     cities = sales_by(star, "City").select(
-        "City", _REVENUE.alias("Revenue"), F.col("sales").alias("Transactions")
+        "City", _revenue().alias("Revenue"), F.col("sales").alias("Transactions")
     )
     return _ranked(cities, "Revenue", "City").limit(n)
 
@@ -114,7 +115,7 @@ def items_per_promotion(star: Star) -> DataFrame:
 
 def discount_impact(star: Star) -> DataFrame:
     return sales_by(star, "Discount_Applied").select(
-        "Discount_Applied", _REVENUE.alias("Total_Revenue"), F.col("sales").alias("Trans_Count")
+        "Discount_Applied", _revenue().alias("Total_Revenue"), F.col("sales").alias("Trans_Count")
     )
 
 
@@ -129,9 +130,11 @@ def month_over_month(star: Star) -> DataFrame:
         .select(
             "Year",
             "Month",
-            _REVENUE.alias("Revenue"),
+            _revenue().alias("Revenue"),
             money(F.col("before")).alias("Prev_Month_Revenue"),
-            ratio(F.col("cents") - F.col("before"), F.col("before"), 100.0).alias("MoM_Growth_Pct"),
+            ratio(money(F.col("cents") - F.col("before")), money(F.col("before")), 100.0).alias(
+                "MoM_Growth_Pct"
+            ),
         )
     )
 
@@ -142,7 +145,7 @@ def customer_value(star: Star) -> DataFrame:
         "Customer_Name",
         "Customer_Category",
         F.col("sales").alias("Total_Transactions"),
-        _REVENUE.alias("Total_LTV"),
+        _revenue().alias("Total_LTV"),
     )
     return _ranked(customers, "Total_LTV", "Customer_Name", "Customer_Category")
 

@@ -42,22 +42,19 @@ class Star:
         raise KeyError(attribute)
 
 
-# Additive figures of the fact: each may be summed again after any grouping.
-FIGURES: dict[str, Column] = {
-    "cents": F.sum(cents(F.col("Total_Cost"))),
-    "costed": F.count("Total_Cost"),
-    "sales": F.count("Transaction_ID"),
-    "items": F.sum("Total_Items"),
-    "counted": F.count("Total_Items"),
-}
-
-
 def figures() -> list[Column]:
-    return [column.alias(name) for name, column in FIGURES.items()]
+    """Additive figures of the fact: each may be summed again after any grouping."""
+    return [
+        F.sum(cents(F.col("Total_Cost"))).alias("cents"),
+        F.count("Total_Cost").alias("costed"),
+        F.count("Transaction_ID").alias("sales"),
+        F.sum("Total_Items").alias("items"),
+        F.count("Total_Items").alias("counted"),
+    ]
 
 
 def merged() -> list[Column]:
-    return [F.sum(name).alias(name) for name in FIGURES]
+    return [F.sum(name).alias(name) for name in ("cents", "costed", "sales", "items", "counted")]
 
 
 def sales_by(star: Star, *attributes: str) -> DataFrame:

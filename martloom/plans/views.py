@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import mean_money, money, ratio
 from martloom.plans.star import Star, figures, sales_per_key
 
-_REVENUE = money(F.col("cents"))
+def _revenue() -> Column:
+    return money(F.col("cents"))
 
 
 def _count(name: str):
@@ -44,7 +45,7 @@ def customer_analysis(star: Star) -> DataFrame:
         "Customer_Name",
         "Customer_Category",
         _count("ids").alias("Total_Transactions"),
-        _REVENUE.alias("Lifetime_Value"),
+        _revenue().alias("Lifetime_Value"),
         mean_money(F.col("cents"), F.col("costed")).alias("Average_Order_Value"),
     )
 
@@ -74,7 +75,7 @@ def promotion_analysis(star: Star) -> DataFrame:
         "Promotion",
         "Discount_Applied",
         _count("sales").alias("Times_Used"),
-        _REVENUE.alias("Generated_Revenue"),
+        _revenue().alias("Generated_Revenue"),
     )
 
 
@@ -84,7 +85,7 @@ def store_performance(star: Star) -> DataFrame:
         "Store_Key",
         "City",
         "Store_Type",
-        _REVENUE.alias("Total_Revenue"),
+        _revenue().alias("Total_Revenue"),
         _count("sales").alias("Transaction_Count"),
         ratio(F.col("items"), F.col("counted")).alias("Avg_Basket_Size"),
     )
@@ -98,7 +99,7 @@ def time_analysis(star: Star) -> DataFrame:
         daily.groupBy(*columns)
         .agg(F.sum("cents").alias("cents"), F.sum("sales").alias("sales"))
         .select(
-            *columns, _REVENUE.alias("Daily_Revenue"), _count("sales").alias("Daily_Transactions")
+            *columns, _revenue().alias("Daily_Revenue"), _count("sales").alias("Daily_Transactions")
         )
     )
 

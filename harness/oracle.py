@@ -270,7 +270,9 @@ _SQL["s2_format_dispatch"] = f"SELECT {_RAW_COLUMNS} FROM raw WHERE {_LATE} = 9"
 _SQL["s3_batch_load"] = f"SELECT {_RAW_COLUMNS} FROM raw"
 _SQL["s4_bronze_audit"] = f"""
 SELECT {_RAW_COLUMNS}, '2026-07-07' AS source_batch_date, true AS has_ingestion_timestamp FROM raw"""
-_SQL["s5_layer_write_csv"] = f"SELECT {_RAW_COLUMNS} FROM raw"
+_SQL["s5_layer_write_csv"] = """
+SELECT * REPLACE (nullif(Customer_Category, '') AS Customer_Category, nullif(Promotion, '') AS Promotion)
+FROM raw"""
 _SQL["s6_bronze_partition_write"] = """
 SELECT Transaction_ID, Total_Cost, d AS source_batch_date, d AS batch_date
 FROM raw, (VALUES ('2026-07-06'), ('2026-07-07')) AS days(d)"""

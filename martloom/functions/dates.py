@@ -23,6 +23,19 @@ TIMESTAMP_FORMATS = (
 )
 
 
+def _shape_of(pattern: str) -> str:
+    return re.sub(r"[yMdHms]", "9", pattern)
+
+
+def _numeric(formats: tuple[str, ...]) -> bool:
+    """Whether every format consists of digits and separators only."""
+    return not any(re.search(r"[a-zA-Z']", _shape_of(f)) for f in formats)
+
+
+def _digit_shape(text: Column) -> Column:
+    return F.translate(text, "012345678", "9" * 9)
+
+
 def _try_all(text: Column, formats: list[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
@@ -34,18 +47,31 @@ def parse_timestamp(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS)
     of the text (digits reduced to ``9``): only formats of the same shape can match it. Texts of no
     known shape go through the whole list, so the result equals trying every format in turn.
     """
-    if any(re.search(r"[a-zA-Z']", re.sub(r"[yMdHms]", "", f)) for f in formats):
+    if not _numeric(formats):
         return _try_all(text, list(formats))
     by_shape: dict[str, list[str]] = {}
     for f in formats:
-        by_shape.setdefault(re.sub(r"[yMdHms]", "9", f), []).append(f)
-    shape = F.translate(text, "012345678", "9" * 9)
+        by_shape.setdefault(_shape_of(f), []).append(f)
+    shape = _digit_shape(text)
     routes = list(by_shape.items())
     start = F.when(shape == routes[0][0], _try_all(text, routes[0][1]))
     routed = reduce(lambda acc, r: acc.when(shape == r[0], _try_all(text, r[1])), routes[1:], start)
     return routed.when(text.isNotNull(), _try_all(text, list(formats)))
 
 
+def readable_formats(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
+    """Array of every format that can read the text; formats are ruled out by shape first."""
+    shape, shapes = _digit_shape(text), [_shape_of(f) for f in formats]
+
+    def reads(pattern: str) -> Column:
+        parsed = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+        if not _numeric(formats):
+            return parsed
+        return ((shape == _shape_of(pattern)) | ~shape.isin(*shapes)) & parsed
+
+    return F.array_compact(F.array(*[F.when(reads(f), F.lit(f)) for f in formats]))
+
+
 def date_key(day: Column) -> Column:
     """Calendar key YYYYMMDD."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")

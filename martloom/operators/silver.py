@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,10 +77,7 @@ def with_faults(shaped: DataFrame) -> DataFrame:
 
 
 def valid_rows(shaped: DataFrame) -> DataFrame:
-    keep = ~F.lit(False)
-    for broken in _faults().values():
-        keep = keep & ~broken
-    return shaped.filter(keep)
+    return shaped.filter(~reduce(or_, _faults().values()))
 
 
 def rejected_rows(shaped: DataFrame) -> DataFrame:
@@ -111,18 +111,20 @@ def latest_per_transaction(df: DataFrame, key: str = "Transaction_ID") -> DataFr
 
 def refine(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
     """Bronze to silver in one pass and one shuffle."""
-    return latest_per_transaction(valid_rows(shape(bronze, formats)))
+    return settle(shape(bronze, formats))
+
+
+def settle(shaped: DataFrame) -> DataFrame:
+    """Valid rows, one per transaction."""
+    return latest_per_transaction(valid_rows(shaped))
 
 
 def date_diagnostic(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
     """Rows each format can read, and rows none can, in one pass."""
-    raw = F.trim(F.col("Date"))
-    readable = F.array(
-        *[F.when(F.try_to_timestamp(raw, F.lit(f)).isNotNull(), F.lit(f)) for f in formats]
-    )
-    listed = F.when(F.size(F.array_compact(readable)) > 0, F.array_compact(readable)).otherwise(
-        F.array(F.lit("unreadable"))
-    )
-    return bronze.select(F.explode(listed).alias("date_format")).groupBy("date_format").agg(
-        F.count(F.lit(1)).alias("rows_read")
+    found = dates.readable_formats(F.trim(F.col("Date")), formats)
+    listed = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("unreadable")))
+    return (
+        bronze.select(F.explode(listed).alias("date_format"))
+        .groupBy("date_format")
+        .agg(F.count(F.lit(1)).alias("rows_read"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
@@ -113,16 +113,20 @@ def missing_required(df: DataFrame, table: str) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in schemas.required(table)])
 
 
+def split_by_required(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may be stored in ``table``, and rows missing a column it requires."""
+    lacking = missing_required(df, table)
+    return df.filter(~lacking), df.filter(lacking)
+
+
 def load_sales(staged: DataFrame, staged_dates: DataFrame) -> DataFrame:
     """Fact rows at day grain; rows lacking a required key go to :func:`rejected_sales`."""
-    sales = _remapped_sales(staged, staged_dates)
-    return sales.filter(~missing_required(sales, "FactSales"))
+    return split_by_required(_remapped_sales(staged, staged_dates), "FactSales")[0]
 
 
 def rejected_sales(staged: DataFrame, staged_dates: DataFrame) -> DataFrame:
     """Sound fact rows that cannot be stored because a required key is missing."""
-    sales = _remapped_sales(staged, staged_dates)
-    return sales.filter(missing_required(sales, "FactSales"))
+    return split_by_required(_remapped_sales(staged, staged_dates), "FactSales")[1]
 
 
 def load_bridge(staged: DataFrame) -> DataFrame:
@@ -198,9 +202,11 @@ def load_bridge_text(staged: DataFrame) -> DataFrame:
 # --- whole loads -------------------------------------------------------------------------------
 
 
-def load_typed(spark, root: str, unknown_promotion: bool = False) -> dict[str, DataFrame]:
+def load_typed(
+    spark: SparkSession, root: str, unknown_promotion: bool = False, fmt: str = "csv"
+) -> dict[str, DataFrame]:
     """All seven tables from typed staging files under ``root``."""
-    staged = {t: read_staging(spark, root, t, typed=True) for t in schemas.TABLES}
+    staged = {t: read_staging(spark, root, t, typed=True, fmt=fmt) for t in schemas.TABLES}
     promotions = load_promotions(staged["DimPromotion"])
     return {
         "DimCustomer": load_customers(staged["DimCustomer"]),
@@ -213,7 +219,7 @@ def load_typed(spark, root: str, unknown_promotion: bool = False) -> dict[str, D
     }
 
 
-def load_text(spark, root: str) -> dict[str, DataFrame]:
+def load_text(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All seven tables from all-text staging files under ``root``."""
     staged = {t: read_staging(spark, root, t, typed=False) for t in schemas.TABLES}
     return {

@@ -79,14 +79,22 @@ def with_audit(raw: DataFrame, batch_date: str) -> DataFrame:
 
 
 def read_staging(
-    spark: SparkSession, root: str, table: str, typed: bool = True, skip_header: bool | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    typed: bool = True,
+    skip_header: bool | None = None,
+    fmt: str = "csv",
 ) -> DataFrame:
-    """Staged CSV of one warehouse table.
+    """Staged rows of one warehouse table, from CSV or from Parquet brought to the same types.
 
     The typed flavour skips the header line and turns unreadable numbers into null; the text flavour
     keeps every line, header included, as the loaders of that flavour filter it themselves.
     """
+    schema = schemas.staging(table, typed)
+    path = f"{root}/{table}"
+    if fmt == "parquet":
+        stored = spark.read.parquet(path)
+        return stored.select([F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in schema])
     header = typed if skip_header is None else skip_header
-    return read_csv(
-        spark, f"{root}/{table}", schemas.staging(table, typed), multiline=False, header=header
-    )
+    return read_csv(spark, path, schema, multiline=False, header=header)

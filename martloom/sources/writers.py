@@ -58,7 +58,10 @@ def write_warehouse(
     With ``buckets`` the two transaction-grain tables are registered in ``database`` and bucketed by
     Transaction_ID, so joins between them need no shuffle.
     """
-    for name, table in tables.items():
+    for name, frame in tables.items():
+        table = frame.select(
+            [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.WAREHOUSE[name].fields]
+        )
         by_transaction = name.startswith("Fact")
         if buckets and by_transaction:
             full_name = f"{database}.{name}" if database else name
@@ -72,4 +75,4 @@ def write_warehouse(
                 .saveAsTable(full_name)
             )
         else:
-            write_layer(table.select(schemas.WAREHOUSE[name].names), f"{root}/{name}")
+            write_layer(table, f"{root}/{name}")

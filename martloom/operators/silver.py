@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martloom import schemas
@@ -104,19 +104,28 @@ def latest_per_transaction(df: DataFrame, key: str = "Transaction_ID") -> DataFr
     """
     others = [c for c in df.columns if c != key]
     age = [F.col("ingestion_timestamp")] if "ingestion_timestamp" in others else []
-    ranked = F.struct(*age, F.xxhash64(*others).alias("_tie"), F.struct(*others).alias("row"))
-    best = df.groupBy(key).agg(F.max(ranked).alias("_best"))
-    return best.select(*[F.col(key) if c == key else F.col(f"_best.row.{c}").alias(c) for c in df.columns])
+    order = F.struct(*age, F.xxhash64(*others))
+    best = df.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-def refine(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
-    """Bronze to silver in one pass and one shuffle."""
-    return settle(shape(bronze, formats))
+def refine(
+    bronze: DataFrame,
+    formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS,
+    counts: Observation | str = "refine",
+) -> DataFrame:
+    """Bronze to silver in one pass and one shuffle.
 
-
-def settle(shaped: DataFrame) -> DataFrame:
-    """Valid rows, one per transaction."""
-    return latest_per_transaction(valid_rows(shaped))
+    ``counts`` receives the rows ``read`` and ``dropped`` while the result is written. Observing them
+    between parsing and filtering also keeps the optimizer from copying the filter, and with it all
+    the parsing, below the projection that parses.
+    """
+    marked = with_faults(shape(bronze, formats)).observe(
+        counts,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(F.size("faults") > 0).alias("dropped"),
+    )
+    return latest_per_transaction(marked.filter(F.size("faults") == 0).drop("faults"))
 
 
 def date_diagnostic(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:

@@ -54,12 +54,8 @@ def refine(
 ) -> dict[str, int]:
     """Bronze batch to silver. Row counts are observed while writing, not by a second pass."""
     seen = Observation("refine")
-    invalid = F.count_if(F.size("faults") > 0)
-    shaped = silver.with_faults(silver.shape(bronze_batch(spark, layers, batch_date), formats)).observe(
-        seen, F.count(F.lit(1)).alias("read"), invalid.alias("dropped")
-    )
-    valid = shaped.filter(F.size("faults") == 0).drop("faults")
-    writers.write_layer(silver.latest_per_transaction(valid), layers.silver)
+    clean = silver.refine(bronze_batch(spark, layers, batch_date), formats, seen)
+    writers.write_layer(clean, layers.silver)
     return seen.get
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,7 +143,7 @@ class Tables:
     def star(self) -> Star:
         """Clean star, written by the library's own warehouse writer."""
         root = new_folder(self.spark, "star")
-        writers.write_warehouse({n: build() for n, build in self._star_frames().items()}, root)
+        writers.write_warehouse(self._star_frames(), root)
         return Star.stored(self.spark, root)
 
     # --- dirty files -------------------------------------------------------------------------
@@ -265,21 +265,22 @@ class Tables:
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
         """Gold tables at timestamp grain, each stored."""
-        dims = {n: stage(gold.dimension(self.silver, n), n) for n in gold.ATTRIBUTES}
-        dims["DimProduct"] = stage(gold.product_dimension(self.silver), "DimProduct")
-        dims["DimDate"] = stage(gold.timestamp_dimension(self.silver), "DimDate")
-        return {
-            **dims,
-            "FactSales": stage(gold.sales_fact(self.silver, dims, by_timestamp=True), "FactSales"),
-            "FactProductBridge": stage(gold.product_bridge(self.silver, dims["DimProduct"]), "bridge"),
+        root = new_folder(self.spark, "gold")
+        writers.write_gold(gold.dimension_builders(self.silver, by_timestamp=True), root)
+        dims = {n: self.spark.read.parquet(f"{root}/{n}") for n in gold.KEYS}
+        facts = {
+            "FactSales": gold.sales_fact(self.silver, dims, by_timestamp=True),
+            "FactProductBridge": gold.product_bridge(self.silver, dims["DimProduct"]),
         }
+        writers.write_gold(facts, root)
+        return dims | {n: self.spark.read.parquet(f"{root}/{n}") for n in facts}
 
     @cached_property
     def staging_root(self) -> str:
         """The gold tables as CSV files, product names with their list marks left on."""
         root = new_folder(self.spark, "staging")
         verbatim = silver.add_products(self.silver, verbatim=True)
-        products = gold.product_dimension(verbatim)
+        products = partial(gold.product_dimension, verbatim)
         writers.write_gold({**self.gold, "DimProduct": products}, root, "csv")
         return root
 

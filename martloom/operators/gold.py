@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
@@ -111,10 +112,19 @@ def product_bridge(silver: DataFrame, products: DataFrame) -> DataFrame:
     return keyed.select("Transaction_ID", "Product_Key")
 
 
-def dimensions(silver: DataFrame, by_timestamp: bool = False) -> dict[str, DataFrame]:
-    """The five dimensions. ``silver`` should be a stored table: it is read once for each."""
+def dimension_builders(silver: DataFrame, by_timestamp: bool = False) -> dict[str, Callable[[], DataFrame]]:
+    """The five dimensions, each built when called: numbering a dimension runs jobs of its own.
+
+    ``silver`` should be a stored table, as every dimension reads it (its own columns only).
+    """
+    by_attributes = {name: partial(dimension, silver, name) for name in ATTRIBUTES}
+    dates = timestamp_dimension if by_timestamp else calendar_dimension
     return {
-        **{name: dimension(silver, name) for name in ATTRIBUTES},
-        "DimProduct": product_dimension(silver),
-        "DimDate": timestamp_dimension(silver) if by_timestamp else calendar_dimension(silver),
+        **by_attributes,
+        "DimProduct": partial(product_dimension, silver),
+        "DimDate": partial(dates, silver),
     }
+
+
+def dimensions(silver: DataFrame, by_timestamp: bool = False) -> dict[str, DataFrame]:
+    return {name: build() for name, build in dimension_builders(silver, by_timestamp).items()}

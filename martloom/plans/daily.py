@@ -67,9 +67,9 @@ def model(
 ) -> None:
     """Silver to gold. Dimensions are stored first, so the fact joins them at their known size."""
     clean = spark.read.parquet(layers.silver)
-    dims = gold.dimensions(clean, by_timestamp)
-    writers.write_gold(dims, layers.gold)
-    stored = {n: spark.read.parquet(f"{layers.gold}/{n}") for n in dims}
+    builders = gold.dimension_builders(clean, by_timestamp)
+    writers.write_gold(builders, layers.gold)
+    stored = {n: spark.read.parquet(f"{layers.gold}/{n}") for n in builders}
     facts = {
         "FactSales": gold.sales_fact(clean, stored, null_safe, by_timestamp),
         "FactProductBridge": gold.product_bridge(clean, stored["DimProduct"]),

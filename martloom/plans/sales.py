@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import display, mean_money, money, ratio
-from martloom.plans.star import Star, figures, sales_by
+from martloom.operators.gold import KEYS
+from martloom.plans.star import Star, figures, roll_up, sales_by, sums
 
 def _revenue() -> Column:
     return money(F.col("cents"))
@@ -22,7 +23,7 @@ def _ranked(df: DataFrame, by: str, *names: str, ascending: bool = False) -> Dat
 
 
 def total_revenue(star: Star) -> DataFrame:
-    return star.FactSales.agg(*figures()).select(_revenue().alias("Total_Revenue"))
+    return star.FactSales.agg(*sums(figures())).select(_revenue().alias("Total_Revenue"))
 
 
 def total_transactions(star: Star) -> DataFrame:
@@ -30,20 +31,20 @@ def total_transactions(star: Star) -> DataFrame:
 
 
 def average_order_value(star: Star) -> DataFrame:
-    return star.FactSales.agg(*figures()).select(
+    return star.FactSales.agg(*sums(figures())).select(
         mean_money(F.col("cents"), F.col("costed")).alias("Average_Order_Value")
     )
 
 
 def average_basket_size(star: Star) -> DataFrame:
-    return star.FactSales.agg(*figures()).select(
+    return star.FactSales.agg(*sums(figures())).select(
         ratio(F.col("items"), F.col("counted")).alias("Avg_Basket_Size")
     )
 
 
 def headline_texts(star: Star) -> DataFrame:
     """The four headline figures as display text, one row each."""
-    totals = star.FactSales.agg(*figures(), F.countDistinct("Transaction_ID").alias("ids"))
+    totals = star.FactSales.agg(*sums(figures()), F.countDistinct("Transaction_ID").alias("ids"))
     rows = {
         "Total Revenue": display(_revenue(), 0),
         "Total Transactions": display(F.col("ids"), 0),
@@ -154,10 +155,9 @@ def customer_value(star: Star) -> DataFrame:
 
 
 def product_counts(star: Star) -> DataFrame:
-    """Bridge rows per product name, counted per key before names are looked up."""
-    per_key = star.FactProductBridge.groupBy("Product_Key").agg(F.count("Transaction_ID").alias("n"))
-    named = per_key.join(star.DimProduct.select("Product_Key", "Product_Name"), "Product_Key")
-    return named.groupBy("Product_Name").agg(F.sum("n").alias("Times_Sold"))
+    """Bridge rows per product name."""
+    mentions = {"Times_Sold": F.count("Transaction_ID")}
+    return roll_up(star, star.FactProductBridge, ["Product_Name"], mentions)
 
 
 def best_sellers(star: Star, n: int = 10) -> DataFrame:
@@ -168,35 +168,30 @@ def slow_sellers(star: Star, n: int = 10) -> DataFrame:
     return _ranked(product_counts(star), "Times_Sold", "Product_Name", ascending=True).limit(n)
 
 
-def _with_product_names(star: Star, per_key: DataFrame, groups: list[str], count: str) -> DataFrame:
-    named = per_key.join(star.DimProduct.select("Product_Key", "Product_Name"), "Product_Key")
-    return named.groupBy(*groups).agg(F.sum("n").alias(count))
+def _mentions_with(star: Star, dim: str, attribute: str) -> DataFrame:
+    """Bridge rows with an attribute of their sale, looked up before the sale meets its bridge rows.
+
+    Stored with buckets the join by transaction needs no shuffle; otherwise a basket with very many
+    rows is split at run time.
+    """
+    key = KEYS[dim]
+    described = getattr(star, dim).select(key, attribute)
+    sale = star.FactSales.select("Transaction_ID", key).join(described, key)
+    return star.FactProductBridge.join(sale.select("Transaction_ID", attribute), "Transaction_ID")
 
 
 def products_by_category(star: Star) -> DataFrame:
     """Purchases per product and customer category."""
-    sale = star.FactSales.select("Transaction_ID", "Customer_Key").join(
-        star.DimCustomer.select("Customer_Key", "Customer_Category"), "Customer_Key"
-    )
-    per_key = (
-        star.FactProductBridge.join(sale, "Transaction_ID")
-        .groupBy("Product_Key", "Customer_Category")
-        .agg(F.count("Transaction_ID").alias("n"))
-    )
-    return _with_product_names(star, per_key, ["Product_Name", "Customer_Category"], "Purchases")
+    mentions = _mentions_with(star, "DimCustomer", "Customer_Category")
+    counted = {"Purchases": F.count("Transaction_ID")}
+    return roll_up(star, mentions, ["Product_Name"], counted, ["Customer_Category"])
 
 
 def products_by_season(star: Star) -> DataFrame:
     """Units per season and product."""
-    sale = star.FactSales.select("Transaction_ID", "Date_Key").join(
-        star.DimDate.select("Date_Key", "Season"), "Date_Key"
-    )
-    per_key = (
-        star.FactProductBridge.join(sale, "Transaction_ID")
-        .groupBy("Season", "Product_Key")
-        .agg(F.count("Transaction_ID").alias("n"))
-    )
-    units = _with_product_names(star, per_key, ["Season", "Product_Name"], "Units_Sold")
+    mentions = _mentions_with(star, "DimDate", "Season")
+    counted = {"Units_Sold": F.count("Transaction_ID")}
+    units = roll_up(star, mentions, ["Product_Name"], counted, ["Season"])
     return units.orderBy("Season", F.desc("Units_Sold"), "Product_Name")
 
 
@@ -210,11 +205,8 @@ def product_revenue(star: Star) -> DataFrame:
         .join(sizes, "Transaction_ID")
         .select("Transaction_ID", share.alias("share"))
     )
-    per_key = (
-        star.FactProductBridge.join(shares, "Transaction_ID")
-        .groupBy("Product_Key")
-        .agg(F.sum("share").alias("share"))
+    mentions = star.FactProductBridge.join(shares, "Transaction_ID")
+    revenue = roll_up(star, mentions, ["Product_Name"], {"share": F.sum("share")}).select(
+        "Product_Name", F.round(F.col("share").cast("double"), 2).alias("Estimated_Revenue")
     )
-    named = per_key.join(star.DimProduct.select("Product_Key", "Product_Name"), "Product_Key")
-    estimated = F.round(F.sum("share").cast("double"), 2).alias("Estimated_Revenue")
-    return _ranked(named.groupBy("Product_Name").agg(estimated), "Estimated_Revenue", "Product_Name")
+    return _ranked(revenue, "Estimated_Revenue", "Product_Name")

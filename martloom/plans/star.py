@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.functions.numbers import cents
 from martloom.operators.gold import KEYS
+from martloom.plans.sizes import broadcast_by_size
 
 
 @dataclass(frozen=True)
@@ -42,43 +44,55 @@ class Star:
         raise KeyError(attribute)
 
 
-def figures() -> list[Column]:
+def figures() -> dict[str, Column]:
     """Additive figures of the fact: each may be summed again after any grouping."""
-    return [
-        F.sum(cents(F.col("Total_Cost"))).alias("cents"),
-        F.count("Total_Cost").alias("costed"),
-        F.count("Transaction_ID").alias("sales"),
-        F.sum("Total_Items").alias("items"),
-        F.count("Total_Items").alias("counted"),
-    ]
-
-
-def merged() -> list[Column]:
-    return [F.sum(name).alias(name) for name in ("cents", "costed", "sales", "items", "counted")]
+    return {
+        "cents": F.sum(cents(F.col("Total_Cost"))),
+        "costed": F.count("Total_Cost"),
+        "sales": F.count("Transaction_ID"),
+        "items": F.sum("Total_Items"),
+        "counted": F.count("Total_Items"),
+    }
+
+
+def sums(named: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in named.items()]
+
+
+def roll_up(
+    star: Star,
+    base: DataFrame,
+    attributes: Sequence[str],
+    figures: dict[str, Column],
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """Additive ``figures`` of ``base`` by dimension attributes, and by columns it carries itself.
+
+    A dimension that Spark would broadcast by size is looked up row by row, so only the final groups
+    are shuffled. For any larger dimension ``base`` is first reduced to its key: the join then sees
+    one row per key, and a member holding a third of all rows weighs as much as any other.
+    """
+    wanted: dict[str, list[str]] = {}
+    for a in attributes:
+        wanted.setdefault(star.dimension_of(a), []).append(a)
+    parts = {d: getattr(star, d).select(KEYS[d], *columns) for d, columns in wanted.items()}
+    small = [d for d in parts if broadcast_by_size(parts[d])]
+    large = [d for d in parts if d not in small]
+    for d in small:
+        base = base.join(parts[d], KEYS[d])
+    if not large:
+        return base.groupBy(*carried, *attributes).agg(*sums(figures))
+    known = [a for d in small for a in wanted[d]]
+    totals = base.groupBy(*carried, *known, *[KEYS[d] for d in large]).agg(*sums(figures))
+    for d in large:
+        totals = totals.join(parts[d], KEYS[d])
+    return totals.groupBy(*carried, *attributes).agg(*[F.sum(n).alias(n) for n in figures])
 
 
 def sales_by(star: Star, *attributes: str) -> DataFrame:
-    """Additive fact figures grouped by dimension attributes (inner star join).
-
-    The fact is reduced to the foreign keys before it meets a dimension, so the joins see one row per
-    key: a customer or promotion holding a third of all sales weighs as much as any other, and it
-    does not matter whether a dimension is small enough to broadcast. With several dimensions the
-    calendar, whose size the number of days bounds, is resolved first, so the first reduction is not
-    at customer-and-day grain.
-    """
-    by_dim: dict[str, list[str]] = {}
-    for a in attributes:
-        by_dim.setdefault(star.dimension_of(a), []).append(a)
-    base, early = star.FactSales, []
-    if len(by_dim) > 1 and "DimDate" in by_dim:
-        early = by_dim.pop("DimDate")
-        base = base.join(star.DimDate.select("Date_Key", *early), "Date_Key")
-    totals = base.groupBy(*early, *[KEYS[d] for d in by_dim]).agg(*figures())
-    for dim, columns in by_dim.items():
-        totals = totals.join(getattr(star, dim).select(KEYS[dim], *columns), KEYS[dim])
-    return totals.groupBy(*attributes).agg(*merged())
+    """Additive fact figures grouped by dimension attributes (inner star join)."""
+    return roll_up(star, star.FactSales, attributes, figures())
 
 
 def sales_per_key(star: Star, key: str) -> DataFrame:
-    return star.FactSales.groupBy(key).agg(*figures())
-
+    return star.FactSales.groupBy(key).agg(*sums(figures()))

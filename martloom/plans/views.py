@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import mean_money, money, ratio
-from martloom.plans.star import Star, figures, sales_per_key
+from martloom.plans.star import Star, figures, sales_per_key, sums
 
 def _revenue() -> Column:
     return money(F.col("cents"))
@@ -38,7 +38,7 @@ def sales_overview(star: Star) -> DataFrame:
 
 def customer_analysis(star: Star) -> DataFrame:
     sales = star.FactSales.groupBy("Customer_Key").agg(
-        *figures(), F.countDistinct("Transaction_ID").alias("ids")
+        *sums(figures()), F.countDistinct("Transaction_ID").alias("ids")
     )
     return star.DimCustomer.join(sales, "Customer_Key", "left").select(
         "Customer_Key",

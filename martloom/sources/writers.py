@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -45,34 +48,51 @@ def write_bronze(bronze: DataFrame, path: str, batch_date: str, fmt: str = "parq
     write_layer(bronze.withColumn("batch_date", F.lit(batch_date)), path, fmt, "batch_date")
 
 
-def write_gold(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    for name, table in tables.items():
-        write_layer(table, f"{root}/{name}", fmt)
+Table = DataFrame | Callable[[], DataFrame]
+
+
+def write_each(tables: Mapping[str, Table], write: Callable[[str, DataFrame], None], at_once: int = 4) -> None:
+    """Write independent tables as concurrent jobs, so small ones fill the gaps large ones leave.
+
+    A table may be given as a function building it: keyed dimensions already run jobs while built.
+    """
+
+    def run(name: str) -> None:
+        table = tables[name]
+        write(name, table if isinstance(table, DataFrame) else table())
+
+    with ThreadPoolExecutor(at_once) as pool:
+        # Consuming the results raises the first failure.
+        list(pool.map(run, tables))
+
+
+def write_gold(tables: Mapping[str, Table], root: str, fmt: str = "parquet") -> None:
+    write_each(tables, lambda name, table: write_layer(table, f"{root}/{name}", fmt))
 
 
 def write_warehouse(
-    tables: dict[str, DataFrame], root: str, buckets: int | None = None, database: str | None = None
+    tables: Mapping[str, Table], root: str, buckets: int | None = None, database: str | None = None
 ) -> None:
-    """Store loaded tables as Parquet under ``root``.
+    """Store loaded tables as Parquet of the warehouse types under ``root``.
 
     With ``buckets`` the two transaction-grain tables are registered in ``database`` and bucketed by
     Transaction_ID, so joins between them need no shuffle.
     """
-    for name, frame in tables.items():
-        table = frame.select(
-            [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.WAREHOUSE[name].fields]
-        )
-        by_transaction = name.startswith("Fact")
-        if buckets and by_transaction:
-            full_name = f"{database}.{name}" if database else name
-            (
-                table.repartition(buckets, "Transaction_ID")
-                .write.mode("overwrite")
-                .format("parquet")
-                .option("path", f"{root}/{name}")
-                .bucketBy(buckets, "Transaction_ID")
-                .sortBy("Transaction_ID")
-                .saveAsTable(full_name)
-            )
-        else:
+
+    def write(name: str, loaded: DataFrame) -> None:
+        fields = schemas.WAREHOUSE[name].fields
+        table = loaded.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        if not (buckets and name.startswith("Fact")):
             write_layer(table, f"{root}/{name}")
+            return
+        (
+            table.repartition(buckets, "Transaction_ID")
+            .write.mode("overwrite")
+            .format("parquet")
+            .option("path", f"{root}/{name}")
+            .bucketBy(buckets, "Transaction_ID")
+            .sortBy("Transaction_ID")
+            .saveAsTable(f"{database}.{name}" if database else name)
+        )
+
+    write_each(tables, write)

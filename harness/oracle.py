@@ -338,6 +338,11 @@ _SPARK_FORMATS = {
     "dd-MM-yyyy HH:mm:ss": "%d-%m-%Y %H:%M:%S",
     "dd/MM/yyyy HH:mm:ss": "%d/%m/%Y %H:%M:%S",
     "MM/dd/yyyy HH:mm:ss": "%m/%d/%Y %H:%M:%S",
+    "dd-MM-yyyy": "%d-%m-%Y",
+    "MM-dd-yyyy": "%m-%d-%Y",
+    "dd/MM/yyyy": "%d/%m/%Y",
+    "MM/dd/yyyy": "%m/%d/%Y",
+    "yyyy/MM/dd": "%Y/%m/%d",
 }
 _SQL["t12_date_diagnostic"] = (
     "\nUNION ALL ".join(

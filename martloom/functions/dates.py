@@ -59,17 +59,13 @@ def parse_timestamp(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS)
     return routed.when(text.isNotNull(), _try_all(text, list(formats)))
 
 
-def readable_formats(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
-    """Array of every format that can read the text; formats are ruled out by shape first."""
+def readable_by(text: Column, pattern: str, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
+    """Whether ``pattern``, one of ``formats``, reads the text; ruled out by shape where possible."""
+    parsed = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+    if not _numeric(formats):
+        return parsed
     shape, shapes = _digit_shape(text), [_shape_of(f) for f in formats]
-
-    def reads(pattern: str) -> Column:
-        parsed = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
-        if not _numeric(formats):
-            return parsed
-        return ((shape == _shape_of(pattern)) | ~shape.isin(*shapes)) & parsed
-
-    return F.array_compact(F.array(*[F.when(reads(f), F.lit(f)) for f in formats]))
+    return ((shape == _shape_of(pattern)) | ~shape.isin(*shapes)) & parsed
 
 
 def date_key(day: Column) -> Column:

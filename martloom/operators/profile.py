@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,70 +43,67 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.array(*[stats(c) for c in columns]).alias("s")).select(F.inline("s"))
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: tuple[float, ...] = QUARTILES) -> DataFrame:
-    """Smallest value reached by each share of the rows, exact at any size.
+def exact_quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...] = QUARTILES) -> DataFrame:
+    """Smallest value of each column reached by each share of its rows, exact at any size.
 
     Equal values are first counted together, so a value held by a third of all rows is one row. The
     counted values are range-partitioned; per-partition totals tell which partition holds a wanted
     rank, and only those partitions are walked through.
     """
-    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value"))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    counted = (
+        df.select(F.inline(F.array(*cells)))
+        .filter("value IS NOT NULL")
+        .groupBy("column_name", "value")
+        .agg(_rows().alias("n"))
+    )
     placed = stage(
-        counted.agg(_rows().alias("n"))
-        .repartitionByRange("value")
-        .withColumn("part", F.spark_partition_id()),
-        f"quantiles-{column}",
+        counted.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id()),
+        "quantiles",
     )
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition: bounded by the shuffle partition count.
+    own = Window.partitionBy("column_name")
+    upto = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # Per column one row per range partition: bounded by the shuffle partition count.
     parts = (
-        placed.groupBy("part")
+        placed.groupBy("column_name", "part")
         .agg(F.sum("n").alias("held"))
-        .select(
-            "part",
-            "held",
-            F.coalesce(F.sum("held").over(upto), F.lit(0)).alias("before"),
-            F.sum("held").over(Window.partitionBy()).alias("total"),
-        )
+        .withColumn("before", F.coalesce(F.sum("held").over(upto), F.lit(0)))
+        .withColumn("total", F.sum("held").over(own))
     )
-    share = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
+    rank = F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1))
     wanted = (
-        parts.select("*", share)
-        .withColumn("rank", F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1)))
+        parts.select("*", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
+        .withColumn("rank", rank)
         .filter("rank > before AND rank <= before + held")
-        .select("part", "share", F.col("rank") - F.col("before"), "before")
-        .toDF("part", "share", "local_rank", "before")
+        .select("column_name", "part", "share", (F.col("rank") - F.col("before")).alias("local_rank"))
     )
-    walked = placed.join(F.broadcast(wanted.select("part").distinct()), "part", "left_semi")
     running = F.sum("n").over(
-        Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("column_name", "part")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    walked = walked.withColumn("upto", running)
-    hits = walked.join(F.broadcast(wanted), "part").filter("local_rank > upto - n AND local_rank <= upto")
-    return hits.select("share", "value")
+    place = ["column_name", "part"]
+    walked = placed.join(F.broadcast(wanted.select(place).distinct()), place, "left_semi")
+    hits = walked.withColumn("upto", running).join(F.broadcast(wanted), place)
+    return hits.filter("local_rank > upto - n AND local_rank <= upto").select("column_name", "share", "value")
 
 
 def summary(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Describe figures plus quartiles; ``exact=False`` takes them from a one-pass sketch."""
-    base = describe(df, columns)
+    names = {s: f"p{int(s * 100)}" for s in QUARTILES}
     if exact:
-        per_column = [
-            exact_quantiles(df, c).withColumn("column_name", F.lit(c)) for c in columns
-        ]
-        rows = reduce(DataFrame.unionByName, per_column)
-        wide = rows.groupBy("column_name").agg(
-            *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(f"p{int(s * 100)}") for s in QUARTILES]
-        )
+        picked = [F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for s, n in names.items()]
+        quartiles = exact_quantiles(df, columns).groupBy("column_name").agg(*picked)
     else:
         sketches = [
             F.struct(
                 F.lit(c).alias("column_name"),
-                *[F.percentile_approx(F.col(c).cast("double"), s).alias(f"p{int(s * 100)}") for s in QUARTILES],
+                *[F.percentile_approx(F.col(c).cast("double"), s).alias(n) for s, n in names.items()],
             )
             for c in columns
         ]
-        wide = df.agg(F.array(*sketches).alias("s")).select(F.inline("s"))
-    return base.join(wide, "column_name", "left")
+        quartiles = df.agg(F.array(*sketches).alias("s")).select(F.inline("s"))
+    return describe(df, columns).join(quartiles, "column_name", "left")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

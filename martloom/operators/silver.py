@@ -130,10 +130,13 @@ def refine(
 
 def date_diagnostic(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
     """Rows each format can read, and rows none can, in one pass."""
-    found = dates.readable_formats(F.trim(F.col("Date")), formats)
-    listed = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("unreadable")))
-    return (
-        bronze.select(F.explode(listed).alias("date_format"))
-        .groupBy("date_format")
-        .agg(F.count(F.lit(1)).alias("rows_read"))
-    )
+    raw = F.trim(F.col("Date"))
+    reads = {f"f{i}": dates.readable_by(raw, f, formats) for i, f in enumerate(formats)}
+    read = bronze.select(*[F.coalesce(flag, F.lit(False)).alias(n) for n, flag in reads.items()])
+    counts = [F.count_if(n) for n in reads] + [F.count_if(~reduce(or_, [F.col(n) for n in reads]))]
+    labels = [*formats, "unreadable"]
+    pairs = [
+        F.struct(F.lit(label).alias("date_format"), count.alias("rows_read"))
+        for label, count in zip(labels, counts, strict=True)
+    ]
+    return read.agg(F.array(*pairs).alias("c")).select(F.inline("c"))

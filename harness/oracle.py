@@ -148,11 +148,9 @@ JOIN nation ON n_nationkey = c_nationkey
 LEFT JOIN order_baskets ON l_orderkey = o_orderkey,
 LATERAL (SELECT unnest(range(CASE WHEN o_orderkey % 97 = 0 THEN 2 ELSE 1 END))) AS copies(copy)"""
 
-# In a CSV file an empty cell is no value; the JSON file (keys ending in 9) keeps empty text.
+# In a CSV file an empty cell is no value; JSON keeps empty text.
 _PARTS["raw"] = """
-SELECT * REPLACE (CASE WHEN Customer_Category <> '' OR Transaction_ID LIKE '%9' THEN Customer_Category END
-                    AS Customer_Category,
-                  CASE WHEN Promotion <> '' OR Transaction_ID LIKE '%9' THEN Promotion END AS Promotion)
+SELECT * REPLACE (nullif(Customer_Category, '') AS Customer_Category, nullif(Promotion, '') AS Promotion)
 FROM written"""
 
 _FORMATS = (
@@ -264,15 +262,12 @@ _SQL: dict[str, str] = {}
 
 # --- sources and sinks -------------------------------------------------------------------------
 
-_LATE = "CAST(Transaction_ID AS BIGINT) % 10"
-_SQL["s1_csv_scan"] = f"SELECT {_RAW_COLUMNS} FROM raw WHERE {_LATE} <> 9"
-_SQL["s2_format_dispatch"] = f"SELECT {_RAW_COLUMNS} FROM raw WHERE {_LATE} = 9"
-_SQL["s3_batch_load"] = f"SELECT {_RAW_COLUMNS} FROM raw"
+_SQL["s1_csv_scan"] = f"SELECT {_RAW_COLUMNS} FROM raw"
+_SQL["s2_format_dispatch"] = f"SELECT {_RAW_COLUMNS} FROM written"
+_SQL["s3_batch_load"] = f"SELECT {_RAW_COLUMNS} FROM raw UNION ALL SELECT {_RAW_COLUMNS} FROM written"
 _SQL["s4_bronze_audit"] = f"""
 SELECT {_RAW_COLUMNS}, '2026-07-07' AS source_batch_date, true AS has_ingestion_timestamp FROM raw"""
-_SQL["s5_layer_write_csv"] = """
-SELECT * REPLACE (nullif(Customer_Category, '') AS Customer_Category, nullif(Promotion, '') AS Promotion)
-FROM raw"""
+_SQL["s5_layer_write_csv"] = f"SELECT {_RAW_COLUMNS} FROM raw"
 _SQL["s6_bronze_partition_write"] = """
 SELECT Transaction_ID, Total_Cost, d AS source_batch_date, d AS batch_date
 FROM raw, (VALUES ('2026-07-06'), ('2026-07-07')) AS days(d)"""

@@ -29,9 +29,9 @@ def query(name: str):
 
 # --- sources and sinks -------------------------------------------------------------------------
 
-query("s1_csv_scan")(lambda t: readers.read_csv(t.spark, t.landing[0]))
-query("s2_format_dispatch")(lambda t: readers.read_any(t.spark, t.landing[1]))
-query("s3_batch_load")(lambda t: t.raw())
+query("s1_csv_scan")(lambda t: readers.read_csv(t.spark, t.landing["csv"]))
+query("s2_format_dispatch")(lambda t: readers.read_any(t.spark, t.landing["json"]))
+query("s3_batch_load")(lambda t: readers.load_daily_batch(t.spark, t.landing.values()))
 
 
 @query("s4_bronze_audit")

@@ -235,18 +235,17 @@ class Tables:
         return rows.select(*[values[c].alias(c) for c in schemas.RAW_COLUMNS], copies.alias("copy")).drop("copy")
 
     @cached_property
-    def landing(self) -> list[str]:
-        """Two transaction files of a batch: a CSV and a JSON folder, parted by key."""
+    def landing(self) -> dict[str, str]:
+        """The dirty transactions as a CSV and as a JSON folder, each of them whole."""
         root = new_folder(self.spark, "landing")
-        paths = [f"{root}/first.csv", f"{root}/second.json"]
+        paths = {fmt: f"{root}/transactions.{fmt}" for fmt in ("csv", "json")}
         raw = stage(self.dirty_raw(), "dirty")
-        second = F.col("Transaction_ID").cast("bigint") % 10 == 9
-        writers.write_layer(raw.filter(~second), paths[0], "csv")
-        raw.filter(second).write.option("ignoreNullFields", False).json(paths[1])
+        writers.write_layer(raw, paths["csv"], "csv")
+        raw.write.json(paths["json"])
         return paths
 
     def raw(self) -> DataFrame:
-        return readers.load_daily_batch(self.spark, self.landing)
+        return readers.load_daily_batch(self.spark, [self.landing["csv"]])
 
     @cached_property
     def bronze(self) -> DataFrame:

@@ -196,8 +196,15 @@ def products_by_season(star: Star) -> DataFrame:
 
 
 def product_revenue(star: Star) -> DataFrame:
-    """Revenue per product, each sale split evenly over the rows of its basket."""
-    sizes = star.FactProductBridge.groupBy("Transaction_ID").agg(F.count("Product_Key").alias("size"))
+    """Revenue per product, each sale split evenly over the rows of its basket.
+
+    Bridge rows are first counted per transaction and product, so a transaction holding a large part
+    of all rows enters the joins with no more rows than there are products.
+    """
+    # The explicit filter keeps both uses of `lines` alike, so Spark shuffles it once.
+    keyed = star.FactProductBridge.filter("Transaction_ID IS NOT NULL AND Product_Key IS NOT NULL")
+    lines = keyed.groupBy("Transaction_ID", "Product_Key").agg(F.count(F.lit(1)).alias("n"))
+    sizes = lines.groupBy("Transaction_ID").agg(F.sum("n").alias("size"))
     # Ten decimals hold a share exactly enough that row order cannot show in the sum.
     share = F.try_divide(F.col("Total_Cost"), F.col("size").cast("double")).cast("decimal(28,10)")
     shares = (
@@ -205,8 +212,9 @@ def product_revenue(star: Star) -> DataFrame:
         .join(sizes, "Transaction_ID")
         .select("Transaction_ID", share.alias("share"))
     )
-    mentions = star.FactProductBridge.join(shares, "Transaction_ID")
-    revenue = roll_up(star, mentions, ["Product_Name"], {"share": F.sum("share")}).select(
-        "Product_Name", F.round(F.col("share").cast("double"), 2).alias("Estimated_Revenue")
+    mentions = lines.join(shares, "Transaction_ID")
+    earned = {"earned": F.sum(F.col("share") * F.col("n").cast("decimal(10,0)"))}
+    revenue = roll_up(star, mentions, ["Product_Name"], earned).select(
+        "Product_Name", F.round(F.col("earned").cast("double"), 2).alias("Estimated_Revenue")
     )
     return _ranked(revenue, "Estimated_Revenue", "Product_Name")

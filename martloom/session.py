@@ -13,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # Replace a shuffle join by a broadcast only once the shuffled side is known to be this small.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

@@ -12,8 +12,8 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only on a local master without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder; a temporary one only on a local master without any."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -12,7 +12,7 @@ GIVEN = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
-    paths = tables(spark, GIVEN).landing
+    paths = [tables(spark, GIVEN).landing["csv"]]
     root = str(tmp_path_factory.mktemp("lake"))
     star, counts = daily.run_daily(spark, root, paths, "2024-01-01")
     return root, paths, star, counts

@@ -1,6 +1,7 @@
 """Plan shapes that must hold at any size, and hot keys."""
 
 from contextlib import contextmanager
+from dataclasses import replace
 
 import pytest
 from conftest import make_star, rows
@@ -10,6 +11,7 @@ from harness.tables import tables
 from martloom.operators import gold, silver
 from martloom.operators.keys import with_dense_key
 from martloom.plans import baskets, sales, views
+from martloom.sources.staging import stage
 
 GIVEN = "/root/testdata/sf0.001"
 
@@ -75,37 +77,59 @@ def test_no_dimension_is_broadcast_by_force(spark, given):
             assert df.count() > 0
 
 
-def test_sales_of_one_basket_are_split_over_tasks(spark):
-    """A third of all bridge rows belong to one transaction; the join splits it and stays whole."""
+@pytest.fixture(scope="module")
+def hot_star(spark):
+    """A third of all bridge rows belong to one transaction."""
     lines = spark.range(600_000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("Transaction_ID"),
         (F.col("id") % 50).cast("int").alias("Product_Key"),
     )
-    sale_rows = lines.select("Transaction_ID").distinct().select(
+    facts = lines.select("Transaction_ID").distinct().select(
         "Transaction_ID",
         F.lit(20240101).alias("Date_Key"),
         (F.col("Transaction_ID") % 5).cast("int").alias("Customer_Key"),
         F.lit(1).alias("Store_Key"),
         F.lit(1).alias("Promotion_Key"),
         F.lit(1).alias("Total_Items"),
-        F.lit(1.0).alias("Total_Cost"),
+        F.lit(1.5).alias("Total_Cost"),
     )
-    base = make_star(spark, customers=[(i, f"n{i}", f"c{i}") for i in range(5)], products=[(p, f"p{p}") for p in range(50)])
-    star = type(base)(**{**base.__dict__, "FactSales": sale_rows, "FactProductBridge": lines})
-    expected = rows(sales.products_by_category(star).agg(F.sum("Purchases")))
-    with settings(
-        spark,
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-    ):
-        report = sales.products_by_category(star)
-        assert rows(report.agg(F.sum("Purchases"))) == expected == [(600_000,)]
-        collected = sales.products_by_category(star)
-        collected.collect()
-        assert "skew=true" in plan(collected)
+    customers = [(i, f"n{i}", f"c{i}") for i in range(5)]
+    base = make_star(spark, customers=customers, products=[(p, f"p{p}") for p in range(50)])
+    return replace(base, FactSales=stage(facts, "facts"), FactProductBridge=stage(lines, "lines"))
+
+
+SHUFFLE_JOINS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "100KB",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "100KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+}
+
+
+@pytest.mark.parametrize("report", [sales.products_by_category, views.product_performance])
+def test_rows_of_one_basket_are_split_over_tasks(spark, hot_star, report):
+    count = {"products_by_category": "Purchases", "product_performance": "Total_Times_Purchased"}[report.__name__]
+    with settings(spark, **SHUFFLE_JOINS):
+        df = report(hot_star)
+        found = rows(df)
+        assert "skew=true" in plan(df)
+    assert sum(r[df.columns.index(count)] for r in found) == 600_000
+
+
+def test_product_revenue_counts_a_hot_basket_before_joining(spark, hot_star):
+    with settings(spark, **SHUFFLE_JOINS):
+        df = sales.product_revenue(hot_star)
+        found = rows(df)
+        text = plan(df)
+    assert "keys=[Transaction_ID" in text and "partial_count(1)" in text
+    everything = rows(hot_star.FactSales.agg(F.sum("Total_Cost")))[0][0]
+    assert sum(r[1] for r in found) == pytest.approx(everything)
+
+
+def test_hot_basket_pairs_are_whole(spark, hot_star):
+    found = rows(baskets.product_pairs(hot_star, n=5000))
+    assert len(found) == 50 * 49 // 2 and {r[2] for r in found} == {1}
 
 
 def test_hot_transaction_id_is_deduplicated_whole(spark, bronze_of):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,40 +31,41 @@ def _numeric(formats: tuple[str, ...]) -> bool:
     return not any(re.search(r"[a-zA-Z']", _shape_of(f)) for f in formats)
 
 
-def _digit_shape(text: Column) -> Column:
+def digit_shape(text: Column) -> Column:
+    """The text with every digit replaced by ``9``."""
     return F.translate(text, "012345678", "9" * 9)
 
 
-def _try_all(text: Column, formats: list[str]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+def _attempts(text: Column, formats: tuple[str, ...], shape: Column | None) -> list[Column]:
+    """One parse per format, tried only where the shape of the text does not rule it out.
 
+    A failed attempt costs several times a successful one. Texts of no listed shape are tried with
+    every format, so nothing is read differently from trying them all.
+    """
+    parses = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    if not _numeric(formats):
+        return parses
+    shape = digit_shape(text) if shape is None else shape
+    unlisted = ~shape.isin(*dict.fromkeys(_shape_of(f) for f in formats))
+    return [F.when((shape == _shape_of(f)) | unlisted, p) for f, p in zip(formats, parses, strict=True)]
 
-def parse_timestamp(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
+
+def parse_timestamp(
+    text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS, shape: Column | None = None
+) -> Column:
     """Timestamp by the first matching format, or null.
 
-    A failed attempt costs several times a successful one, so formats are first picked by the shape
-    of the text (digits reduced to ``9``): only formats of the same shape can match it. Texts of no
-    known shape go through the whole list, so the result equals trying every format in turn.
+    ``shape`` may name a column already holding :func:`digit_shape` of the text.
     """
-    if not _numeric(formats):
-        return _try_all(text, list(formats))
-    by_shape: dict[str, list[str]] = {}
-    for f in formats:
-        by_shape.setdefault(_shape_of(f), []).append(f)
-    shape = _digit_shape(text)
-    routes = list(by_shape.items())
-    start = F.when(shape == routes[0][0], _try_all(text, routes[0][1]))
-    routed = reduce(lambda acc, r: acc.when(shape == r[0], _try_all(text, r[1])), routes[1:], start)
-    return routed.when(text.isNotNull(), _try_all(text, list(formats)))
-
-
-def readable_by(text: Column, pattern: str, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
-    """Whether ``pattern``, one of ``formats``, reads the text; ruled out by shape where possible."""
-    parsed = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
-    if not _numeric(formats):
-        return parsed
-    shape, shapes = _digit_shape(text), [_shape_of(f) for f in formats]
-    return ((shape == _shape_of(pattern)) | ~shape.isin(*shapes)) & parsed
+    return F.coalesce(*_attempts(text, formats, shape))
+
+
+def readable_by(
+    text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS, shape: Column | None = None
+) -> dict[str, Column]:
+    """Per format, whether it reads the text."""
+    attempts = _attempts(text, formats, shape)
+    return {f: a.isNotNull() for f, a in zip(formats, attempts, strict=True)}
 
 
 def date_key(day: Column) -> Column:

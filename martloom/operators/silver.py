@@ -33,14 +33,15 @@ def clean_text(df: DataFrame) -> DataFrame:
 
 def cast_types(df: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
     """Timestamp, counts, amount and flag; what cannot be read becomes null and is judged later."""
-    return df.withColumns(
+    shaped = df.withColumn("_shape", dates.digit_shape(F.col("Date")))
+    return shaped.withColumns(
         {
-            "Date": dates.parse_timestamp(F.col("Date"), formats),
+            "Date": dates.parse_timestamp(F.col("Date"), formats, F.col("_shape")),
             "Total_Items": numbers.to_int(F.col("Total_Items")),
             "Total_Cost": numbers.to_double(F.col("Total_Cost")),
             "Discount_Applied": flags.to_flag(F.col("Discount_Applied")),
         }
-    )
+    ).drop("_shape")
 
 
 def add_date_parts(df: DataFrame) -> DataFrame:
@@ -72,12 +73,22 @@ def _faults() -> dict[str, Column]:
 
 def with_faults(shaped: DataFrame) -> DataFrame:
     """Adds ``faults``, the names of the rules a row breaks."""
-    named = [F.when(broken, F.lit(name)) for name, broken in _faults().items()]
-    return shaped.withColumn("faults", F.array_compact(F.array(*named)))
+    named = [F.when(broken, F.lit(name)).otherwise(F.lit("")) for name, broken in _faults().items()]
+    return shaped.withColumn("faults", F.array_remove(F.array(*named), ""))
+
 
+def valid_rows(shaped: DataFrame, counts: Observation | str = "validation") -> DataFrame:
+    """Rows that break no rule.
 
-def valid_rows(shaped: DataFrame) -> DataFrame:
-    return shaped.filter(~reduce(or_, _faults().values()))
+    ``counts`` receives the rows ``read`` and ``dropped`` while the result is computed. Observing them
+    between parsing and filtering also keeps the optimizer from copying the filter, and with it all
+    the parsing, below the projection that parses.
+    """
+    broken = reduce(or_, _faults().values())
+    marked = shaped.withColumn("_invalid", broken).observe(
+        counts, F.count(F.lit(1)).alias("read"), F.count_if("_invalid").alias("dropped")
+    )
+    return marked.filter("NOT _invalid").drop("_invalid")
 
 
 def rejected_rows(shaped: DataFrame) -> DataFrame:
@@ -86,13 +97,14 @@ def rejected_rows(shaped: DataFrame) -> DataFrame:
 
 def rejection_counts(shaped: DataFrame) -> DataFrame:
     """Rows in, rows kept, rows dropped, and rows per broken rule, in one pass."""
-    marked = with_faults(shaped)
-    dropped = F.count_if(F.size("faults") > 0)
+    faults = _faults()
+    marked = shaped.select(*[broken.alias(name) for name, broken in faults.items()])
+    invalid = reduce(or_, [F.col(name) for name in faults])
     return marked.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.size("faults") == 0).alias("valid_rows"),
-        dropped.alias("dropped_rows"),
-        *[F.count_if(F.array_contains("faults", n)).alias(n) for n in _faults()],
+        F.count_if(~invalid).alias("valid_rows"),
+        F.count_if(invalid).alias("dropped_rows"),
+        *[F.count_if(name).alias(name) for name in faults],
     )
 
 
@@ -114,29 +126,21 @@ def refine(
     formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS,
     counts: Observation | str = "refine",
 ) -> DataFrame:
-    """Bronze to silver in one pass and one shuffle.
-
-    ``counts`` receives the rows ``read`` and ``dropped`` while the result is written. Observing them
-    between parsing and filtering also keeps the optimizer from copying the filter, and with it all
-    the parsing, below the projection that parses.
-    """
-    marked = with_faults(shape(bronze, formats)).observe(
-        counts,
-        F.count(F.lit(1)).alias("read"),
-        F.count_if(F.size("faults") > 0).alias("dropped"),
-    )
-    return latest_per_transaction(marked.filter(F.size("faults") == 0).drop("faults"))
+    """Bronze to silver in one pass and one shuffle; ``counts`` as in :func:`valid_rows`."""
+    return latest_per_transaction(valid_rows(shape(bronze, formats), counts))
 
 
 def date_diagnostic(bronze: DataFrame, formats: tuple[str, ...] = dates.TIMESTAMP_FORMATS) -> DataFrame:
     """Rows each format can read, and rows none can, in one pass."""
-    raw = F.trim(F.col("Date"))
-    reads = {f"f{i}": dates.readable_by(raw, f, formats) for i, f in enumerate(formats)}
-    read = bronze.select(*[F.coalesce(flag, F.lit(False)).alias(n) for n, flag in reads.items()])
-    counts = [F.count_if(n) for n in reads] + [F.count_if(~reduce(or_, [F.col(n) for n in reads]))]
-    labels = [*formats, "unreadable"]
+    text = F.trim(F.col("Date"))
+    shaped = bronze.select(text.alias("text"), dates.digit_shape(text).alias("shape"))
+    readable = dates.readable_by(F.col("text"), formats, F.col("shape"))
+    # Positional names: a format is no handy column name.
+    reads = shaped.select(*[flag.alias(f"f{i}") for i, flag in enumerate(readable.values())])
+    counts = [F.count_if(name) for name in reads.columns]
+    counts.append(F.count_if(~reduce(or_, [F.col(name) for name in reads.columns])))
     pairs = [
         F.struct(F.lit(label).alias("date_format"), count.alias("rows_read"))
-        for label, count in zip(labels, counts, strict=True)
+        for label, count in zip([*formats, "unreadable"], counts, strict=True)
     ]
-    return read.agg(F.array(*pairs).alias("c")).select(F.inline("c"))
+    return reads.agg(F.array(*pairs).alias("c")).select(F.inline("c"))

@@ -12,6 +12,54 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP4 = """
+WITH t AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, unnest(range(0, length(h) // 2 - 49)) AS p, h FROM t),
+g AS (
+  SELECT doc_id, p, min(doc_id) OVER (PARTITION BY sha256(substr(h, 2 * p + 1, 100))) AS d0 FROM w),
+r AS (
+  SELECT doc_id, p, max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS q
+  FROM g WHERE d0 < doc_id),
+s AS (
+  SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS n
+  FROM r),
+u AS (
+  SELECT doc_id, n, min(p) AS a, max(p) + 50 AS b FROM s GROUP BY doc_id, n),
+k AS (
+  SELECT doc_id, n, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z,
+         row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) AS from_end
+  FROM u),
+j AS (
+  SELECT t.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, CAST(2 * z + 1 AS BIGINT), CAST(2 * (a - z) AS BIGINT)) ||
+                    CASE WHEN from_end = 1 THEN substr(h, CAST(2 * b + 1 AS BIGINT)) ELSE '' END, '' ORDER BY a) AS kept
+  FROM t JOIN k ON t.doc_id = k.doc_id GROUP BY t.doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM t LEFT JOIN j ON t.doc_id = j.doc_id
+"""
+
+OP5 = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, w FROM t),
+g AS (
+  SELECT doc_id, s, row_number() OVER (
+    PARTITION BY sha256(array_to_string(list_slice(w, s, s + 19), ' ')) ORDER BY doc_id, s) AS n FROM p),
+r AS (
+  SELECT DISTINCT doc_id, s + o AS i FROM g, range(0, 20) AS offsets(o) WHERE n > 1),
+a AS (
+  SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM t) AS t),
+k AS (
+  SELECT a.doc_id, count(*) AS kept, string_agg(word, ' ' ORDER BY i) AS words
+  FROM a ANTI JOIN r ON a.doc_id = r.doc_id AND a.i = r.i GROUP BY a.doc_id)
+SELECT t.doc_id, len(w) AS n_words, len(w) - coalesce(kept, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM t LEFT JOIN k ON t.doc_id = k.doc_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3}
+    return {"op3_exact_dedup": OP3, "op4_suffix_dedup": OP4, "op5_substring_dedup": OP5}

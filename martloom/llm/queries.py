@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact, simhash
+from martloom.llm import exact, packing, shards, simhash, substring, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies, as if it were installed."""
+    root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -20,6 +29,28 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.refine(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    lost = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", lost.alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law that holds is ``bytes``; growing by a shard moves rows between all, so it is not offered."""
+    found = shards.kd_shards(table(spark, sf_dir, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -121,14 +121,19 @@ def merged_ranges(docs: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa
 
 
 def settle(keys: tuple[np.ndarray, ...], docs: np.ndarray, starts: np.ndarray, same_doc: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, document and start; which rows (in that order) stay as the earliest of equal keys."""
+    """Order by keys, document and start; which rows (in that order) stay as the earliest of equal keys.
+
+    A repeated row is the same place again, not a later one.
+    """
     order = np.lexsort((starts, docs, *keys))
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys]) if len(order) else False
-    if same_doc or not len(order):
+    if not len(order):
         return order, new
     leader = np.flatnonzero(new)[np.cumsum(new) - 1]
-    return order, docs[order] == docs[order][leader]
+    docs, starts = docs[order], starts[order]
+    first = docs == docs[leader]
+    return order, first & (starts == starts[leader]) if same_doc else first
 
 
 def _keys(part: Part, spec: Spec) -> Runs:

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact, packing, shards, simhash, substring, suffix
+from martloom.llm import decontam, exact, language, packing, pii, quality, shards, simhash, substring, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, text), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
+    found = language.identify(docs, profiles)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.refine(table(spark, sf_dir, "documents"), hash_all=True)
 
@@ -51,6 +68,18 @@ def op7_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ensemble = quality.learn(docs, labels, ~language.held_out(F.col("doc_id")))
+    found = quality.score(docs, ensemble)
+    held = language.held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import product, repeat
+from math import acos, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.components import components
+from martloom.llm.windows import mixed
 from martloom.sources.staging import stage
 
 SHINGLE_WORDS = 3
@@ -21,29 +23,33 @@ _QUARTERS = 4
 _AT_ONCE = 1 << 18  # shingles whose bits are counted together
 
 
-def text_fingerprints(texts, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """Fingerprints (uint64) of texts; null and wordless ones get zero.
+def text_fingerprints(texts, shingle_words: int = SHINGLE_WORDS, lanes: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints (texts x lanes, uint64) and numbers of shingles; null and wordless texts get zeros.
 
     A-Z is lower-cased and words end at ASCII white space, which is what ``bytes`` methods do. A bit is
-    set if it is set in over half the hashes of the shingles, repeats included.
+    set if it is set in over half the hashes of the shingles, repeats included. The first lane takes the
+    hashes as they are, further lanes mix them anew.
     """
-    found = np.zeros(len(texts), np.uint64)
+    found, sizes_of = np.zeros((len(texts), lanes), np.uint64), np.zeros(len(texts), np.int64)
     waiting: list[tuple[int, np.ndarray]] = []
     size = 0
 
     def settle() -> None:
         hashes = np.concatenate([h for _, h in waiting])
         starts = np.cumsum([0] + [len(h) for _, h in waiting[:-1]])
-        ones = np.zeros((len(waiting), 64), np.int64)
-        for low in range(0, len(hashes), _AT_ONCE):  # a long text is counted piece by piece
-            part = hashes[low : low + _AT_ONCE]
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            first = np.searchsorted(starts, low, "right") - 1
-            cuts = np.concatenate([[0], starts[(starts > low) & (starts < low + len(part))] - low])
-            ones[first : first + len(cuts)] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
-        sizes = np.array([len(h) for _, h in waiting])
-        packed = np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little")
-        found[[i for i, _ in waiting]] = packed.view(np.uint64).ravel()
+        sizes, rows = np.array([len(h) for _, h in waiting]), [i for i, _ in waiting]
+        for lane in range(lanes):
+            ones = np.zeros((len(waiting), 64), np.int64)
+            for low in range(0, len(hashes), _AT_ONCE):  # a long text is counted piece by piece
+                part = hashes[low : low + _AT_ONCE]
+                bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                first = np.searchsorted(starts, low, "right") - 1
+                cuts = np.concatenate([[0], starts[(starts > low) & (starts < low + len(part))] - low])
+                ones[first : first + len(cuts)] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
+            packed = np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little")
+            found[rows, lane] = packed.view(np.uint64).ravel()
+            hashes = mixed(hashes)
+        sizes_of[rows] = sizes
         waiting.clear()
 
     for i, text in enumerate(texts):
@@ -59,7 +65,7 @@ def text_fingerprints(texts, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
             size = 0
     if waiting:
         settle()
-    return found
+    return found, sizes_of
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -70,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                fps = text_fingerprints(part.column("text").to_pylist(), shingle_words)
+                fps = text_fingerprints(part.column("text").to_pylist(), shingle_words)[0][:, 0].copy()
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -203,3 +209,95 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     classes = stage(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+LANES = 4
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+
+
+def radius_for(similarity: float, bits: int, slack: float = 1.0) -> int:
+    """Differing bits to expect of two shingle sets of that Jaccard similarity, and ``slack`` deviations."""
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    return round(bits * share + slack * sqrt(bits * share * (1 - share)))
+
+
+def _wide_links(a: np.ndarray, b: np.ndarray, radius: int, first_radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of links; most pairs are settled by the first lane alone."""
+    left, right = np.nonzero(np.bitwise_count(a[:, :1] ^ b[None, :, 0]) <= first_radius)
+    close = np.bitwise_count(a[left] ^ b[right]).sum(axis=1, dtype=np.int64) <= radius
+    left, right = left[close], right[close]
+    if len(left) > len(a) + len(b):
+        near = np.zeros((len(a), len(b)), bool)
+        near[left, right] = True
+        left, right = _forest(near)
+    return left, right
+
+
+def similar_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = SIMILARITY,
+    shingle_words: int = SIMILAR_WORDS,
+    lanes: int = LANES,
+    tile: int = TILE,
+) -> DataFrame:
+    """``(doc_id, component_id)`` of documents linked to another; the smallest id of the group names it.
+
+    The link is an estimate: fingerprints of ``lanes`` x 64 bits differ in no more bits than Jaccard
+    ``similarity`` makes one expect, plus one deviation. Sets that similar differ in size by that factor at
+    most, so documents lie in cells by the logarithm of their number of shingles, only neighbouring cells
+    meet, tile by tile, and each pair of tiles returns at most a spanning forest of its links.
+
+    Null, empty and wordless texts and rows without an id are never linked. Repeated rows count as one.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    radius = radius_for(similarity, 64 * lanes)
+    first_radius = radius_for(similarity, 64, 4.0)
+
+    def work(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                fps, sizes = text_fingerprints(part.column("text").to_pylist(), shingle_words, lanes)
+                raw = [row.tobytes() for row in fps]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(raw, pa.binary()), pa.array(sizes)], ["doc_id", "fps", "n"]
+                )
+
+    marked = rows.mapInArrow(work, "doc_id long, fps binary, n long").where("n > 0 AND doc_id IS NOT NULL")
+    band = F.floor(F.log("n") / log(1 / similarity)).cast("int")
+    placed = stage(marked.select("doc_id", "fps", band.alias("cell")), "similar-fingerprints")
+    # Fewer than 200 cells hold any text that a string column can: a proven bound for the broadcast.
+    cells = stage(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("n_tiles")), "similar-cells")
+    tiles = stage(
+        placed.join(F.broadcast(cells), "cell")
+        .groupBy("cell", F.pmod(F.xxhash64("doc_id"), "n_tiles").cast("int").alias("tile"))
+        .agg(F.collect_list(F.struct("doc_id", "fps")).alias("members")),
+        "similar-tiles",
+    )
+    asked = (
+        tiles.select("cell", "tile", F.col("members").alias("a"), F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
+        .withColumn("other", F.col("cell") + F.col("step"))
+        .join(F.broadcast(cells.select(F.col("cell").alias("other"), "n_tiles")), "other")
+        .withColumn("first", F.when(F.col("step") == 0, F.col("tile")).otherwise(F.lit(0)))
+        .select("a", F.col("other").alias("cell"), F.explode(F.sequence("first", F.col("n_tiles") - 1)).alias("tile"))
+    )
+    pairs = asked.join(tiles.select("cell", "tile", F.col("members").alias("b")), ["cell", "tile"]).select("a", "b")
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, fps = [], []
+                for name in ("a", "b"):
+                    members = batch.column(name)[i].values
+                    ids.append(members.field("doc_id").to_numpy())
+                    fps.append(np.frombuffer(b"".join(members.field("fps").to_pylist()), np.uint64).reshape(-1, lanes))
+                left, right = _wide_links(*fps, radius, first_radius)
+                u, v = ids[0][left], ids[1][right]
+                yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
+
+    return components(pairs.mapInArrow(compare, "u long, v long")).select(
+        F.col("vertex").alias("doc_id"), F.col("root").alias("component_id")
+    )

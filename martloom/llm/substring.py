@@ -28,7 +28,7 @@ def _units(text: str | None) -> np.ndarray:
 def _grouped(spec: Spec):
     def by_window(rows: DataFrame, sketch, contested) -> DataFrame:
         def emit(held):
-            one, two, doc, start = (np.concatenate(x) for x in zip(*held))
+            key, one, two, doc, start = (np.concatenate(x) for x in zip(*held))
             order, first = settle((two, one), doc, start, spec.same_doc)
             gone = order[~first]
             keep = order[first]
@@ -37,25 +37,29 @@ def _grouped(spec: Spec):
             # Ranges that a task finds by itself travel beside the windows that others may have earlier.
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(one[keep].view(np.int64)), pa.array(np.arange(no))]),
+                    pa.concat_arrays([pa.array(key[keep].view(np.int64)), pa.array(np.arange(no))]),
+                    pa.concat_arrays([pa.array(one[keep].view(np.int64)), pa.nulls(no, pa.int64())]),
                     pa.concat_arrays([pa.array(two[keep].view(np.int64)), pa.nulls(no, pa.int64())]),
                     pa.concat_arrays([pa.array(doc[keep]), known.column("doc_id")]),
                     pa.concat_arrays([pa.array(start[keep]), known.column("start")]),
                     pa.concat_arrays([pa.array(start[keep] + spec.window), known.column("stop")]),
                 ],
-                ["one", "two", "doc_id", "start", "stop"],
+                ["key", "one", "two", "doc_id", "start", "stop"],
             )
 
         def work(batches):
             held, size = [], 0
-            for part, first, last, _, doc, shift in repeats.contested_runs(batches, spec, sketch.value, contested.value):
+            for part, first, last, key, doc, shift in repeats.contested_runs(batches, spec, sketch.value, contested.value):
                 one, two = window_hashes(part.values, spec.window)
                 count = last - first + 1
                 row = np.repeat(np.arange(len(first)), count)
                 at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                held.append((one[at], two[at], doc[row], at + shift[row]))
+                # Windows of a run stay together, so that their ranges merge; those at a very frequent
+                # minimizer part company: each goes where its own words say.
+                to = np.where(sketch.value.very_full(key)[row], one[at], key[row])
+                held.append((to, one[at], two[at], doc[row], at + shift[row]))
                 size += len(at)
-                if size >= 1 << 20:
+                if size >= 1 << 19:
                     yield from emit(held)
                     held, size = [], 0
             if size:
@@ -78,11 +82,11 @@ def _grouped(spec: Spec):
                 batch = batch.filter(batch.column("two").is_valid())
                 if not batch.num_rows:
                     continue
-                if held and size >= 1 << 20:  # between two windows only
-                    ones = batch.column("one").to_numpy()
-                    before = held[-1].column("one")[-1].as_py()
-                    cut = int(np.argmax(ones != before)) if (ones != before).any() else len(ones)
-                    if cut < len(ones):
+                if held and size >= 1 << 20:  # between two keys only
+                    keys = batch.column("key").to_numpy()
+                    before = held[-1].column("key")[-1].as_py()
+                    cut = int(np.argmax(keys != before)) if (keys != before).any() else len(keys)
+                    if cut < len(keys):
                         yield done([*held, batch.slice(0, cut)])
                         held, size, batch = [], 0, batch.slice(cut)
                 held.append(batch)
@@ -90,8 +94,8 @@ def _grouped(spec: Spec):
             if held:
                 yield done(held)
 
-        met = rows.mapInArrow(work, "one long, two long, doc_id long, start long, stop long")
-        return met.repartition("one").sortWithinPartitions("one").mapInArrow(group, REMOVED)
+        met = rows.mapInArrow(work, "key long, one long, two long, doc_id long, start long, stop long")
+        return met.repartition("key").sortWithinPartitions("key").mapInArrow(group, REMOVED)
 
     return by_window
 

@@ -17,7 +17,10 @@ from harness import registry  # noqa: E402
 from harness.tables import tables  # noqa: E402
 from martloom.session import build_session  # noqa: E402
 
-LOADS = ("star", "landing", "bronze", "silver", "gold", "staging_root", "text_sales")
+LOADS = (
+    "star", "spoiled", "landing", "bronze", "silver", "gold", "gold_copy", "staging_root", "text_sales",
+    "warehouse_typed", "warehouse_text", "lake",
+)
 
 
 def main() -> None:

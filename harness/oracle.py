@@ -23,7 +23,7 @@ def _category(x: str) -> str:
 
 
 def _exact(x: str) -> str:
-    return f"sum(CAST({x} AS DECIMAL(18,2)))"
+    return f"sum(CAST({x} AS DECIMAL(24,6)))"
 
 
 def _cash(x: str) -> str:
@@ -65,7 +65,7 @@ SELECT o_orderkey AS Transaction_ID, CAST(strftime(o_orderdate, '%Y%m%d') AS INT
        CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN -1
             ELSE CAST(left(o_orderpriority, 1) AS INT) * 2 - CASE WHEN discounted THEN 0 ELSE 1 END END AS INT)
          AS Promotion_Key,
-       items AS Total_Items, cost AS Total_Cost
+       items AS Total_Items, CASE WHEN o_orderkey % 101 = 0 THEN cost + CAST(0.004 AS DOUBLE) ELSE cost END AS Total_Cost
 FROM orders JOIN order_lines ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey"""
 
 _PARTS["FactProductBridge"] = """
@@ -117,6 +117,7 @@ def _blotted(x: str) -> str:
     return f"(CASE WHEN o_orderkey % 11 = 0 THEN {tokens}[(o_orderkey // 11) % 6 + 1] ELSE {x} END)"
 
 
+_NAMED = "(CASE WHEN o_orderkey % 17 = 0 THEN c_name || chr(10) || '\"jr\", ltd' ELSE c_name END)"
 _CLOCK = "strftime(TIMESTAMP '1970-01-01' + to_seconds(o_orderkey * 37 % 86400), ' %H:%M:%S')"
 
 _PARTS["written"] = f"""
@@ -127,10 +128,10 @@ SELECT CAST(o_orderkey AS VARCHAR) AS Transaction_ID,
             WHEN o_orderkey % 5 = 3 THEN strftime(o_orderdate, '%d/%m/%Y') || {_CLOCK}
             WHEN o_orderkey % 5 = 4 AND day(o_orderdate) > 12 THEN strftime(o_orderdate, '%m/%d/%Y') || {_CLOCK}
             ELSE strftime(o_orderdate, '%Y-%m-%d') || {_CLOCK} END AS Date,
-       {_untidy('c_name')} AS Customer_Name,
+       {_untidy(_NAMED)} AS Customer_Name,
        '[' || coalesce(names, '') || ']' AS Product,
        items AS Total_Items,
-       CASE WHEN o_orderkey % 101 = 0 THEN ['abc', '-5', 'NaN'][(o_orderkey // 101) % 3 + 1]
+       CASE WHEN o_orderkey % 101 = 0 THEN ['abc', '-5', 'NaN', '1e300', '0.004'][(o_orderkey // 101) % 5 + 1]
             ELSE cost END AS Total_Cost,
        {_untidy("['cash', 'card', 'mobile'][o_orderkey % 3 + 1]")} AS Payment_Method,
        {_untidy('n_name')} AS City,
@@ -180,14 +181,15 @@ _PARTS["shaped"] = """
 SELECT *, CAST(year(Date) AS INT) AS Year, CAST(month(Date) AS INT) AS Month, CAST(day(Date) AS INT) AS Day,
        CAST(quarter(Date) AS INT) AS Quarter, monthname(Date) AS Month_Name,
        Transaction_ID IS NULL AS f_id, Date IS NULL AS f_date, coalesce(Total_Items <= 0, true) AS f_items,
-       coalesce(Total_Cost < 0, true) AS f_cost, coalesce(len(Product_Array), 0) = 0 AS f_products
+       coalesce(Total_Cost < 0, true) AS f_cost,
+       coalesce(Total_Cost >= 1e18, false) AS f_range, coalesce(len(Product_Array), 0) = 0 AS f_products
 FROM typed"""
 
 _PARTS["valid"] = """
-SELECT * FROM shaped WHERE NOT (f_id OR f_date OR f_items OR f_cost OR f_products)"""
+SELECT * FROM shaped WHERE NOT (f_id OR f_date OR f_items OR f_cost OR f_range OR f_products)"""
 
 # Copies of a transaction are identical in this input, so any of them may be kept.
-_PARTS["silver"] = "SELECT DISTINCT * EXCLUDE (f_id, f_date, f_items, f_cost, f_products) FROM valid"
+_PARTS["silver"] = "SELECT DISTINCT * EXCLUDE (f_id, f_date, f_items, f_cost, f_range, f_products) FROM valid"
 
 
 def _numbered(key: str, columns: str, source: str) -> str:
@@ -243,6 +245,24 @@ SELECT CAST(f.Transaction_ID AS BIGINT) AS Transaction_ID,
 FROM g_fact f LEFT JOIN g_moment d ON f.Date_Key = d.Date_Key WHERE f.Total_Cost >= 0"""
 
 
+# The second batch, and what is current after both.
+_PARTS["raw2"] = """
+SELECT * REPLACE ('Second City' AS City, '9' AS Total_Items) FROM raw WHERE CAST(Transaction_ID AS BIGINT) % 7 = 0"""
+for _name, _source in (("typed", "raw"), ("shaped", "typed"), ("valid", "shaped"), ("silver", "valid")):
+    _PARTS[f"{_name}2"] = re.sub(rf"\bFROM {_source}\b", f"FROM {_source}2", _PARTS[_name])
+_PARTS["current"] = """
+SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER (PARTITION BY Transaction_ID ORDER BY source_batch_date DESC) AS place
+  FROM (SELECT *, '2026-07-07' AS source_batch_date FROM silver
+        UNION ALL SELECT *, '2026-07-08' FROM silver2) AS both_batches) AS ranked
+WHERE place = 1"""
+_PARTS["c_customer"] = _numbered("Customer_Key", "Customer_Name, Customer_Category", "current")
+_PARTS["c_store"] = _numbered("Store_Key", "City, Store_Type", "current")
+_PARTS["c_promotion"] = _numbered("Promotion_Key", "Promotion, Discount_Applied", "current")
+_PARTS["c_mentions"] = "SELECT Transaction_ID, unnest(Product_Array) AS Product_Name FROM current"
+_PARTS["c_product"] = _numbered("Product_Key", "Product_Name", "c_mentions")
+
+
 def _with(body: str) -> str:
     """Prefix ``body`` with the named parts it uses, in definition order."""
     needed: set[str] = set()
@@ -263,25 +283,29 @@ _SQL: dict[str, str] = {}
 # --- sources and sinks -------------------------------------------------------------------------
 
 _SQL["s1_csv_scan"] = f"SELECT {_RAW_COLUMNS} FROM raw"
-_SQL["s2_format_dispatch"] = f"SELECT {_RAW_COLUMNS} FROM written"
+_SQL["s2_format_dispatch"] = f"""
+SELECT {_RAW_COLUMNS}, 'csv' AS format FROM raw
+UNION ALL SELECT {_RAW_COLUMNS}, f FROM written, (VALUES ('json'), ('parquet')) AS formats(f)"""
 _SQL["s3_batch_load"] = f"SELECT {_RAW_COLUMNS} FROM raw UNION ALL SELECT {_RAW_COLUMNS} FROM written"
 _SQL["s4_bronze_audit"] = f"""
 SELECT {_RAW_COLUMNS}, '2026-07-07' AS source_batch_date, true AS has_ingestion_timestamp FROM raw"""
 _SQL["s5_layer_write_csv"] = f"SELECT {_RAW_COLUMNS} FROM raw"
-_SQL["s6_bronze_partition_write"] = """
-SELECT Transaction_ID, Total_Cost, d AS source_batch_date, d AS batch_date
+_SQL["s6_bronze_partition_write"] = f"""
+SELECT {_RAW_COLUMNS}, d AS source_batch_date, d AS batch_date
 FROM raw, (VALUES ('2026-07-06'), ('2026-07-07')) AS days(d)"""
 _SQL["s7_array_flatten"] = """
-SELECT Transaction_ID, array_to_string(Product_Array, ', ') AS Product_Array FROM silver"""
-_GOLD_COUNTS = """
-SELECT 'DimCustomer' AS TableName, count(*) AS RowsCount FROM g_customer
-UNION ALL SELECT 'DimStore', count(*) FROM g_store
-UNION ALL SELECT 'DimPromotion', count(*) FROM g_promotion
-UNION ALL SELECT 'FactProductBridge', count(*) FROM g_bridge"""
-_SQL["s8_gold_write"] = _GOLD_COUNTS + """
-UNION ALL SELECT 'DimProduct', count(*) FROM g_product
-UNION ALL SELECT 'DimDate', count(*) FROM g_moment
-UNION ALL SELECT 'FactSales', count(*) FROM g_fact"""
+SELECT * REPLACE (array_to_string(Product_Array, ', ') AS Product_Array), '2026-07-07' AS source_batch_date FROM silver"""
+_GOLD = {
+    "DimCustomer": "g_customer",
+    "DimDate": "g_moment",
+    "DimProduct": "g_product",
+    "DimPromotion": "g_promotion",
+    "DimStore": "g_store",
+    "FactSales": "g_fact",
+    "FactProductBridge": "g_bridge",
+}
+for _table, _part in _GOLD.items():
+    _SQL[f"s8_gold_write_{_table}"] = f"SELECT * FROM {_part}"
 _SQL["s9_staging_scan_typed"] = "SELECT * FROM text_fact"
 _SQL["s9_staging_scan_text"] = """
 SELECT Transaction_ID, CAST(Date_Key AS VARCHAR) AS Date_Key, CAST(Customer_Key AS VARCHAR) AS Customer_Key,
@@ -289,11 +313,6 @@ SELECT Transaction_ID, CAST(Date_Key AS VARCHAR) AS Date_Key, CAST(Customer_Key
        CAST(Total_Items AS VARCHAR) AS Total_Items, CAST(Total_Cost AS VARCHAR) AS Total_Cost
 FROM g_fact"""
 _KEYED = "Date_Key IS NOT NULL AND Customer_Key IS NOT NULL AND Store_Key IS NOT NULL"
-_SQL["s10_warehouse_load"] = _GOLD_COUNTS + f"""
-UNION ALL SELECT 'DimProduct', count(*) FROM piece_keys
-UNION ALL SELECT 'DimDate', count(*) FROM g_calendar
-UNION ALL SELECT 'FactSales', count(*) FROM typed_fact WHERE {_KEYED}"""
-
 # --- silver ------------------------------------------------------------------------------------
 
 _SQL["t1_trim"] = "SELECT " + ", ".join(f"trim({c}) AS {c}" for c in _RAW_COLUMNS.split(", ")) + " FROM raw"
@@ -308,25 +327,26 @@ _SQL["t5_numeric_casts"] = "SELECT Transaction_ID, Total_Items, Total_Cost FROM
 _SQL["t6_boolean_flag"] = "SELECT Transaction_ID, Discount_Applied FROM shaped"
 _SQL["t7_date_parts"] = "SELECT Transaction_ID, Year, Month, Day, Quarter, Month_Name FROM shaped"
 _SQL["t8_basket_array"] = "SELECT Transaction_ID, array_to_string(Product_Array, '|') AS products FROM shaped"
-_SQL["t9_row_validation"] = "SELECT Transaction_ID, Date, Total_Items, Total_Cost FROM valid"
+_AS_TEXT = "REPLACE (array_to_string(Product_Array, '|') AS Product_Array)"
+_FLAGS = "f_id, f_date, f_items, f_cost, f_range, f_products"
+_SQL["t9_row_validation"] = f"""
+SELECT * EXCLUDE ({_FLAGS}) {_AS_TEXT}, '2026-07-07' AS source_batch_date FROM valid"""
 _SQL["t9_rejected_rows"] = """
 SELECT Transaction_ID, concat_ws(',', CASE WHEN f_id THEN 'no_transaction_id' END,
        CASE WHEN f_date THEN 'no_date' END, CASE WHEN f_items THEN 'bad_items' END,
-       CASE WHEN f_cost THEN 'bad_cost' END, CASE WHEN f_products THEN 'no_products' END) AS faults
-FROM shaped WHERE f_id OR f_date OR f_items OR f_cost OR f_products"""
+       CASE WHEN f_cost THEN 'bad_cost' END,
+       CASE WHEN f_range THEN 'cost_out_of_range' END, CASE WHEN f_products THEN 'no_products' END) AS faults
+FROM shaped WHERE f_id OR f_date OR f_items OR f_cost OR f_range OR f_products"""
 _SQL["t10_rejection_counts"] = """
 SELECT count(*) AS total_rows,
-       count(*) FILTER (NOT (f_id OR f_date OR f_items OR f_cost OR f_products)) AS valid_rows,
-       count(*) FILTER (f_id OR f_date OR f_items OR f_cost OR f_products) AS dropped_rows,
+       count(*) FILTER (NOT (f_id OR f_date OR f_items OR f_cost OR f_range OR f_products)) AS valid_rows,
+       count(*) FILTER (f_id OR f_date OR f_items OR f_cost OR f_range OR f_products) AS dropped_rows,
        count(*) FILTER (f_id) AS no_transaction_id, count(*) FILTER (f_date) AS no_date,
        count(*) FILTER (f_items) AS bad_items, count(*) FILTER (f_cost) AS bad_cost,
+       count(*) FILTER (f_range) AS cost_out_of_range,
        count(*) FILTER (f_products) AS no_products
 FROM shaped"""
-_SQL["t11_latest_per_transaction"] = """
-SELECT Transaction_ID, Date, Customer_Name, Total_Items, Total_Cost, Payment_Method, City, Store_Type,
-       Discount_Applied, Customer_Category, Season, Promotion, '2026-07-07' AS source_batch_date,
-       Year, Month, Day, Quarter, Month_Name
-FROM silver"""
+_SQL["t11_latest_per_transaction"] = f"SELECT * {_AS_TEXT}, '2026-07-07' AS source_batch_date FROM silver"
 _SPARK_FORMATS = {
     "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S",
     "yyyy-MM-dd": "%Y-%m-%d",
@@ -394,24 +414,82 @@ _SQL["l7_load_bridge_text"] = _BRIDGE
 _SQL["l8_header_rows"] = """
 SELECT CAST(Customer_Key AS VARCHAR) AS Customer_Key, Customer_Name, Customer_Category FROM g_customer"""
 
+# --- whole loads -------------------------------------------------------------------------------
+
+# Columns that a warehouse table requires, for each flavour the table as loaded.
+_REQUIRED = {
+    "DimCustomer": "Customer_Key",
+    "DimDate": "Date_Key",
+    "DimProduct": "Product_Key",
+    "DimPromotion": "Promotion_Key",
+    "DimStore": "Store_Key",
+    "FactSales": "Transaction_ID, Date_Key, Customer_Key, Store_Key",
+    "FactProductBridge": "Transaction_ID, Product_Key",
+}
+_LOADED = {
+    "": {
+        "DimCustomer": "l1_load_customer", "DimDate": "l2_load_date", "DimProduct": "l3_load_product_cleaned",
+        "DimPromotion": "l4_load_promotion", "DimStore": "l5_load_store",
+        "FactSales": "SELECT * FROM typed_fact", "FactProductBridge": _BRIDGE,
+    },
+    "text_": {
+        "DimCustomer": "l1_load_customer_text", "DimDate": "l2_load_date_text", "DimProduct": "l3_load_product_text",
+        "DimPromotion": "l4_load_promotion_text", "DimStore": "l5_load_store_text",
+        "FactSales": "l6_load_sales_text", "FactProductBridge": _BRIDGE,
+    },
+}
+for _flavour, _tables in _LOADED.items():
+    _lost = []
+    for _table, _body in _tables.items():
+        _body = _SQL.get(_body, _body)
+        _keys = _REQUIRED[_table].split(", ")
+        _sound = " AND ".join(f"{k} IS NOT NULL" for k in _keys)
+        _SQL[f"s10_warehouse_{_flavour}{_table}"] = f"SELECT * FROM ({_body}) AS l WHERE {_sound}"
+        _reason = ", ".join(f"CASE WHEN {k} IS NULL THEN 'no_{k}' END" for k in _keys)
+        _lost.append(
+            f"SELECT '{_table}' AS TableName, concat_ws(',', {_reason}) AS reason FROM ({_body}) AS l WHERE NOT ({_sound})"
+        )
+    _SQL[f"s10_warehouse_{_flavour}rejects"] = (
+        "SELECT TableName, reason, count(*) AS RowsCount FROM (" + " UNION ALL ".join(_lost) + ") AS r GROUP BY ALL"
+    )
+
+# --- the daily load over two batches -----------------------------------------------------------
+
+_SQL["d1_daily_fact"] = f"""
+SELECT CAST(s.Transaction_ID AS BIGINT) AS Transaction_ID, {_DAY_KEY} AS Date_Key, c.Customer_Key, t.Store_Key,
+       coalesce(p.Promotion_Key, -1) AS Promotion_Key, s.Total_Items, s.Total_Cost
+FROM current s
+JOIN c_customer c ON s.Customer_Name = c.Customer_Name AND s.Customer_Category = c.Customer_Category
+JOIN c_store t ON s.City = t.City AND s.Store_Type = t.Store_Type
+LEFT JOIN c_promotion p ON s.Promotion = p.Promotion AND s.Discount_Applied = p.Discount_Applied"""
+_SQL["d1_daily_bridge"] = """
+SELECT CAST(m.Transaction_ID AS BIGINT) AS Transaction_ID, p.Product_Key
+FROM c_mentions m JOIN c_product p ON m.Product_Name = p.Product_Name"""
+_SQL["d2_current_transactions"] = f"SELECT * {_AS_TEXT} FROM current"
+_SQL["d3_silver_rejects"] = "\nUNION ALL ".join(
+    f"SELECT *, '{day}' AS source_batch_date FROM ("
+    + re.sub(r"\bFROM shaped\b", f"FROM {part}", _SQL["t9_rejected_rows"])
+    + ") AS r"
+    for day, part in (("2026-07-07", "shaped"), ("2026-07-08", "shaped2"))
+)
+
 # --- quality -----------------------------------------------------------------------------------
 
 _SQL["q1_missing_values"] = """
-SELECT 'FactSales' AS TableName, count(*) AS MissingCount FROM text_fact
-WHERE Total_Cost IS NULL OR Total_Items IS NULL
-UNION ALL SELECT 'DimProduct', count(*) FROM g_product WHERE Product_Name IS NULL"""
+SELECT 'FactSales' AS TableName, count(*) AS MissingCount FROM FactSales
+WHERE Total_Cost IS NULL OR Total_Items IS NULL OR Transaction_ID % 59 = 0 OR Transaction_ID % 67 = 0
+UNION ALL SELECT 'DimProduct', sum(CASE WHEN Product_Key % 3 = 0 THEN 2 ELSE 1 END)::BIGINT FROM DimProduct
+WHERE Product_Key % 61 = 0"""
 _SQL["q2_null_percentages"] = "SELECT " + ", ".join(
     f"{_share(f'(count(*) - count({k}_Key))', 'count(*)', '100')} AS PctNull_{k}"
     for k in ("Customer", "Store", "Promotion")
 ) + " FROM text_fact"
-_SQL["q3_duplicate_keys"] = f"""
-SELECT Transaction_ID, count(*) AS Occurrences FROM ({_BRIDGE}) AS b GROUP BY Transaction_ID HAVING count(*) > 1"""
+_SQL["q3_duplicate_keys"] = """
+SELECT Product_Key, CAST(2 AS BIGINT) AS Occurrences FROM DimProduct WHERE Product_Key % 3 = 0"""
 _SQL["q4_orphan_customers"] = """
 SELECT count(*) AS Orphaned_Customers FROM text_fact f
 WHERE NOT EXISTS (SELECT 1 FROM g_customer c WHERE c.Customer_Key = f.Customer_Key)"""
-_SQL["q5_invalid_dates"] = """
-SELECT count(*) AS InvalidDates FROM text_fact f
-WHERE NOT EXISTS (SELECT 1 FROM g_calendar d WHERE d.Date_Key = f.Date_Key)"""
+_SQL["q5_invalid_dates"] = "SELECT count(*) AS InvalidDates FROM FactSales WHERE Transaction_ID % 53 = 0"
 _SQL["q6_cost_outliers"] = """
 SELECT * FROM FactSales
 WHERE Total_Cost > (SELECT avg(Total_Cost) + 3 * stddev_samp(Total_Cost) FROM FactSales)"""
@@ -435,7 +513,7 @@ SELECT min(Total_Cost) AS Min_Cost, max(Total_Cost) AS Max_Cost, {_mean_cash('To
        {_share('sum(Total_Items)', 'count(Total_Items)')} AS Avg_Items
 FROM FactSales"""
 _SQL["q14_surplus_keys"] = "\nUNION ALL ".join(
-    f"SELECT '{t}' AS TableName, count(*) - count(DISTINCT {t[3:]}_Key) AS Duplicates FROM {t}"
+    f"SELECT '{t}' AS TableName, count(*) FILTER ({t[3:]}_Key % 3 = 0) AS Duplicates FROM {t}"
     for t in _TABLES
     if t.startswith("Dim")
 )

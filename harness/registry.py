@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness.tables import BATCH_DATE, Tables, tables
+from harness.tables import BATCH_DATE, LATER_DATE, Tables, tables
 from martloom import schemas
 from martloom.operators import gold, profile, quality, silver, warehouse
 from martloom.operators.keys import with_dense_key
@@ -17,6 +18,7 @@ from martloom.sources.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
+EARLIER = "2026-07-06"
 
 
 def query(name: str):
@@ -30,8 +32,13 @@ def query(name: str):
 # --- sources and sinks -------------------------------------------------------------------------
 
 query("s1_csv_scan")(lambda t: readers.read_csv(t.spark, t.landing["csv"]))
-query("s2_format_dispatch")(lambda t: readers.read_any(t.spark, t.landing["json"]))
-query("s3_batch_load")(lambda t: readers.load_daily_batch(t.spark, t.landing.values()))
+@query("s2_format_dispatch")
+def _(t: Tables) -> DataFrame:
+    read = [readers.read_any(t.spark, path).withColumn("format", F.lit(fmt)) for fmt, path in t.landing.items()]
+    return reduce(DataFrame.unionByName, read)
+
+
+query("s3_batch_load")(lambda t: readers.load_daily_batch(t.spark, [t.landing["csv"], t.landing["json"]]))
 
 
 @query("s4_bronze_audit")
@@ -50,24 +57,26 @@ def _(t: Tables) -> DataFrame:
 
 @query("s6_bronze_partition_write")
 def _(t: Tables) -> DataFrame:
+    """Three batches; the second is written twice and the third, written empty the second time, is gone."""
     root = new_folder(t.spark, "s6")
-    columns = ["Transaction_ID", "Total_Cost", "source_batch_date"]
-    for day in ("2026-07-06", BATCH_DATE, BATCH_DATE):
-        writers.write_bronze(readers.with_audit(t.raw(), day).select(columns), root, day)
-    stored = t.spark.read.parquet(root)
+    for day, whole in ((EARLIER, True), (BATCH_DATE, True), (LATER_DATE, True), (BATCH_DATE, True), (LATER_DATE, False)):
+        rows = t.raw() if whole else t.raw().filter("false")
+        writers.write_bronze(readers.with_audit(rows, day), root, day)
+    stored = t.spark.read.parquet(root).drop("ingestion_timestamp")
     return stored.withColumn("batch_date", F.col("batch_date").cast("string"))
 
 
 @query("s7_array_flatten")
 def _(t: Tables) -> DataFrame:
-    return writers.flatten_arrays(t.silver.select("Transaction_ID", "Product_Array"))
+    """The whole silver table to CSV and back, its array as text."""
+    path = new_folder(t.spark, "s7") + ".csv"
+    flat = writers.flatten_arrays(t.silver.drop("ingestion_timestamp"))
+    writers.write_layer(flat, path, "csv")
+    return readers.read_csv(t.spark, path, flat.schema)
 
 
-@query("s8_gold_write")
-def _(t: Tables) -> DataFrame:
-    root = new_folder(t.spark, "s8")
-    writers.write_gold(t.gold, root)
-    return quality.row_counts({n: t.spark.read.parquet(f"{root}/{n}") for n in t.gold})
+for _name in schemas.TABLES:
+    query(f"s8_gold_write_{_name}")(lambda t, n=_name: t.spark.read.parquet(f"{t.gold_copy}/{n}"))
 
 
 query("s9_staging_scan_typed")(lambda t: t.staged("FactSales", typed=True))
@@ -76,16 +85,43 @@ query("s9_staging_scan_text")(
 )
 
 
-@query("s10_warehouse_load")
+for _name in schemas.TABLES:
+    query(f"s10_warehouse_{_name}")(lambda t, n=_name: t.spark.read.parquet(f"{t.warehouse_typed[0]}/{n}"))
+    query(f"s10_warehouse_text_{_name}")(lambda t, n=_name: t.spark.read.parquet(f"{t.warehouse_text[0]}/{n}"))
+
+
+def _reasons(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy("TableName", "reason").agg(F.count(F.lit(1)).alias("RowsCount"))
+
+
+query("s10_warehouse_rejects")(lambda t: _reasons(t.warehouse_typed[1]))
+query("s10_warehouse_text_rejects")(lambda t: _reasons(t.warehouse_text[1]))
+
+# --- the daily load over two batches ------------------------------------------------------------
+
+query("d1_daily_fact")(lambda t: t.spark.read.parquet(f"{t.lake.warehouse}/FactSales"))
+query("d1_daily_bridge")(lambda t: t.spark.read.parquet(f"{t.lake.warehouse}/FactProductBridge"))
+
+
+@query("d2_current_transactions")
+def _(t: Tables) -> DataFrame:
+    return _as_text(t.spark.read.parquet(t.lake.current))
+
+
+@query("d3_silver_rejects")
 def _(t: Tables) -> DataFrame:
-    root = new_folder(t.spark, "s10")
-    writers.write_warehouse(warehouse.load_typed(t.spark, t.staging_root), root)
-    return quality.row_counts({n: t.spark.read.parquet(f"{root}/{n}") for n in schemas.TABLES})
+    stored = t.spark.read.parquet(t.lake.rejects)
+    return stored.select("Transaction_ID", "source_batch_date", F.concat_ws(",", "faults").alias("faults"))
 
 
 # --- silver ------------------------------------------------------------------------------------
 
 
+def _as_text(silver_rows: DataFrame) -> DataFrame:
+    """All columns but the load time; arrays are compared as text."""
+    return writers.flatten_arrays(silver_rows.drop("ingestion_timestamp"), "|")
+
+
 def _raw_part(t: Tables, *columns: str) -> DataFrame:
     return t.bronze.select("Transaction_ID", *columns)
 
@@ -129,8 +165,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("t9_row_validation")
 def _(t: Tables) -> DataFrame:
-    kept = silver.valid_rows(silver.shape(t.bronze))
-    return kept.select("Transaction_ID", "Date", "Total_Items", "Total_Cost")
+    return _as_text(silver.valid_rows(silver.shape(t.bronze)))
 
 
 @query("t9_rejected_rows")
@@ -144,7 +179,7 @@ query("t10_rejection_counts")(lambda t: silver.rejection_counts(silver.shape(t.b
 
 @query("t11_latest_per_transaction")
 def _(t: Tables) -> DataFrame:
-    return silver.refine(t.bronze).drop("ingestion_timestamp", "Product_Array", "Product")
+    return _as_text(silver.refine(t.bronze))
 
 
 query("t12_date_diagnostic")(lambda t: silver.date_diagnostic(t.bronze))
@@ -203,20 +238,16 @@ query("l8_header_rows")(
     lambda t: warehouse.drop_header_rows(t.staged("DimCustomer", typed=False), "Customer_Name")
 )
 
-# --- quality (null checks on the dirty batch's fact, the rest on the clean star) ----------------
+# --- quality (null checks on the dirty batch's fact, faults on the spoiled star, the rest on the clean one) ---
 
-query("q1_missing_values")(lambda t: quality.missing_values(t.text_sales, t.gold["DimProduct"]))
+query("q1_missing_values")(lambda t: quality.missing_values(t.spoiled["FactSales"], t.spoiled["DimProduct"]))
 query("q2_null_percentages")(lambda t: quality.null_percentages(t.text_sales))
-query("q3_duplicate_keys")(
-    lambda t: quality.duplicate_keys(t.staged("FactProductBridge", True), "Transaction_ID")
-)
+query("q3_duplicate_keys")(lambda t: quality.duplicate_keys(t.spoiled["DimProduct"], "Product_Key"))
 query("q4_orphan_customers")(
     lambda t: quality.orphans(t.text_sales, t.gold["DimCustomer"], "Customer_Key", "Orphaned_Customers")
 )
 query("q5_invalid_dates")(
-    lambda t: quality.orphans(
-        t.text_sales, gold.calendar_dimension(t.silver), "Date_Key", "InvalidDates"
-    )
+    lambda t: quality.orphans(t.spoiled["FactSales"], t.spoiled["DimDate"], "Date_Key", "InvalidDates")
 )
 query("q6_cost_outliers")(lambda t: quality.cost_outliers(t.star.FactSales))
 query("q7_product_purchases")(lambda t: quality.purchases_per_product_key(t.star.FactProductBridge))
@@ -233,7 +264,7 @@ query("q11_row_counts")(
 query("q12_null_keys")(lambda t: quality.null_keys(t.text_sales))
 query("q13_value_ranges")(lambda t: quality.value_ranges(t.star.FactSales))
 query("q14_surplus_keys")(
-    lambda t: quality.surplus_keys({n: getattr(t.star, n) for n in schemas.TABLES if n.startswith("Dim")})
+    lambda t: quality.surplus_keys({n: f for n, f in t.spoiled.items() if n.startswith("Dim")})
 )
 
 # --- profiles ----------------------------------------------------------------------------------

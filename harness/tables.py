@@ -15,18 +15,21 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.functions.dates import date_key
-from martloom.functions.numbers import cents, money
+from martloom.functions.numbers import exact, money
 from martloom.operators import gold, silver, warehouse
+from martloom.plans import daily
 from martloom.plans.star import Star
 from martloom.sources import readers, writers
 from martloom.sources.staging import new_folder, stage
 
 BATCH_DATE = "2026-07-07"
+LATER_DATE = "2026-07-08"
 
 # Names used by the mapping from the given tables.
 STORE_TYPES = {"P": "pop-up stand", "F": "flagship store", "O": "online shop"}
 PAYMENTS = ["cash", "card", "mobile"]
 TOKENS = ["NA", "N/A", "NULL", "None", "-", ""]
+COSTS = ["abc", "-5", "NaN", "1e300", "0.004"]
 UNSPECIFIED = "4-NOT SPECIFIED"
 
 
@@ -59,7 +62,7 @@ class Tables:
     def _order_lines(self) -> DataFrame:
         return self.given("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.sum("l_quantity").cast("int").alias("items"),
-            money(F.sum(cents(F.col("l_extendedprice")))).alias("cost"),
+            money(F.sum(exact(F.col("l_extendedprice")))).alias("cost"),
             (F.max("l_discount") >= 0.08).alias("discounted"),
         )
 
@@ -79,7 +82,8 @@ class Tables:
             .cast("int")
             .alias("Promotion_Key"),
             F.col("items").alias("Total_Items"),
-            F.col("cost").alias("Total_Cost"),
+            # Some amounts have more than two decimals.
+            F.when(F.col("o_orderkey") % 101 == 0, F.col("cost") + 0.004).otherwise(F.col("cost")).alias("Total_Cost"),
         )
 
     def _star_calendar(self) -> DataFrame:
@@ -146,6 +150,25 @@ class Tables:
         writers.write_warehouse(self._star_frames(), root)
         return Star.stored(self.spark, root)
 
+    @cached_property
+    def spoiled(self) -> dict[str, DataFrame]:
+        """The star with faults by fixed rules: dates outside the calendar, lost measures and names, repeated keys."""
+        sale, product = F.col("Transaction_ID"), F.col("Product_Key")
+        frames = {n: getattr(self.star, n) for n in schemas.TABLES}
+        frames["FactSales"] = frames["FactSales"].withColumns(
+            {
+                "Date_Key": F.when(sale % 53 == 0, 99991231).otherwise(F.col("Date_Key")),
+                "Total_Items": F.when(sale % 59 != 0, F.col("Total_Items")),
+                "Total_Cost": F.when(sale % 67 != 0, F.col("Total_Cost")),
+            }
+        )
+        frames["DimProduct"] = frames["DimProduct"].withColumn(
+            "Product_Name", F.when(product % 61 != 0, F.col("Product_Name"))
+        )
+        for name, key in gold.KEYS.items():
+            frames[name] = frames[name].unionByName(frames[name].filter(F.col(key) % 3 == 0))
+        return {n: stage(f, f"spoiled-{n}") for n, f in frames.items()}
+
     # --- dirty files -------------------------------------------------------------------------
 
     def _baskets(self) -> DataFrame:
@@ -209,7 +232,7 @@ class Tables:
             .when(discounted, _pick(["Yes", "TRUE", "1"], key % 13 % 3))
             .otherwise(_pick(["No", "false", "0"], key % 13 % 3))
         )
-        cost_text = F.when(key % 101 == 0, _pick(["abc", "-5", "NaN"], F.floor(key / 101) % 3)).otherwise(
+        cost_text = F.when(key % 101 == 0, _pick(COSTS, F.floor(key / 101) % 5)).otherwise(
             F.col("cost").cast("string")
         )
         quoted = F.transform("names", lambda n: F.concat(F.lit("'"), n, F.lit("'")))
@@ -220,7 +243,10 @@ class Tables:
         values = {
             "Transaction_ID": key.cast("string"),
             "Date": date_text,
-            "Customer_Name": untidy(F.col("c_name")),
+            # Cells with a line break and quotes.
+            "Customer_Name": untidy(
+                F.when(key % 17 == 0, F.concat("c_name", F.lit('\n"jr", ltd'))).otherwise(F.col("c_name"))
+            ),
             "Product": F.coalesce(product, F.lit("[]")),
             "Total_Items": F.col("items").cast("string"),
             "Total_Cost": cost_text,
@@ -236,14 +262,36 @@ class Tables:
 
     @cached_property
     def landing(self) -> dict[str, str]:
-        """The dirty transactions as a CSV and as a JSON folder, each of them whole."""
+        """The dirty transactions as a CSV, a JSON and a Parquet folder, each of them whole."""
         root = new_folder(self.spark, "landing")
-        paths = {fmt: f"{root}/transactions.{fmt}" for fmt in ("csv", "json")}
+        paths = {fmt: f"{root}/transactions.{fmt}" for fmt in ("csv", "json", "parquet")}
         raw = stage(self.dirty_raw(), "dirty")
         writers.write_layer(raw, paths["csv"], "csv")
         raw.write.json(paths["json"])
+        raw.write.parquet(paths["parquet"])
         return paths
 
+    @cached_property
+    def later_landing(self) -> str:
+        """A second batch: every seventh transaction comes again, corrected."""
+        path = new_folder(self.spark, "later") + ".csv"
+        again = self.raw().filter(F.col("Transaction_ID").cast("bigint") % 7 == 0)
+        corrected = again.withColumns({"City": F.lit("Second City"), "Total_Items": F.lit("9")})
+        writers.write_layer(corrected, path, "csv")
+        return path
+
+    @cached_property
+    def lake(self) -> daily.Layers:
+        """Both batches through the whole daily load; the first one is loaded once more at the end."""
+        root = new_folder(self.spark, "lake")
+        for paths, day in (
+            ([self.landing["csv"]], BATCH_DATE),
+            ([self.later_landing], LATER_DATE),
+            ([self.landing["csv"]], BATCH_DATE),
+        ):
+            daily.run_daily(self.spark, root, paths, day)
+        return daily.Layers(root)
+
     def raw(self) -> DataFrame:
         return readers.load_daily_batch(self.spark, [self.landing["csv"]])
 
@@ -251,10 +299,6 @@ class Tables:
     def bronze(self) -> DataFrame:
         return stage(readers.with_audit(self.raw(), BATCH_DATE), "bronze")
 
-    @cached_property
-    def shaped(self) -> DataFrame:
-        return stage(silver.shape(self.bronze), "shaped")
-
     @cached_property
     def silver(self) -> DataFrame:
         return stage(silver.refine(self.bronze), "silver")
@@ -286,6 +330,27 @@ class Tables:
     def staged(self, table: str, typed: bool) -> DataFrame:
         return readers.read_staging(self.spark, self.staging_root, table, typed)
 
+    @cached_property
+    def gold_copy(self) -> str:
+        root = new_folder(self.spark, "gold-copy")
+        writers.write_gold(self.gold, root)
+        return root
+
+    def _stored(self, loaded: dict[str, DataFrame], label: str) -> tuple[str, DataFrame]:
+        root = new_folder(self.spark, label)
+        kept, rejects = warehouse.enforce(loaded)
+        writers.write_warehouse(kept, root)
+        return root, stage(rejects, f"{label}-rejects")
+
+    @cached_property
+    def warehouse_typed(self) -> tuple[str, DataFrame]:
+        """Root of the tables loaded from typed staging, and the rows that may not be stored."""
+        return self._stored(warehouse.load_typed(self.spark, self.staging_root), "typed")
+
+    @cached_property
+    def warehouse_text(self) -> tuple[str, DataFrame]:
+        return self._stored(warehouse.load_text(self.spark, self.staging_root), "text")
+
     @cached_property
     def text_sales(self) -> DataFrame:
         """The dirty batch's fact loaded from text staging: it keeps its null keys."""

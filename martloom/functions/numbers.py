@@ -20,13 +20,22 @@ def to_double(text: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def cents(amount: Column) -> Column:
-    """Amount in whole cents: integer sums are exact, order-free and stay in fixed-width buffers."""
-    return F.round(amount * F.lit(100)).cast("bigint")
+# Six decimals and up to 18 whole digits; a sum of these has room for 10^10 of the largest.
+EXACT = "decimal(24,6)"
 
 
-def money(amount_in_cents: Column) -> Column:
-    return amount_in_cents / F.lit(100.0)
+def exact(amount: Column) -> Column:
+    """Amount as a fixed-point number, whose sums are exact and order-free; null if it does not fit."""
+    return amount.try_cast(EXACT)
+
+
+def misfit(amount: Column) -> Column:
+    """Whether an amount is there but too large to be summed exactly."""
+    return amount.isNotNull() & exact(amount).isNull()
+
+
+def money(exact_sum: Column) -> Column:
+    return exact_sum.cast("double")
 
 
 def ratio(part: Column, whole: Column, scale: float = 1.0) -> Column:
@@ -34,8 +43,8 @@ def ratio(part: Column, whole: Column, scale: float = 1.0) -> Column:
     return F.try_divide(part.cast("double") * F.lit(scale), whole.cast("double"))
 
 
-def mean_money(total_cents: Column, count: Column) -> Column:
-    return ratio(money(total_cents), count)
+def mean_money(exact_sum: Column, count: Column) -> Column:
+    return ratio(money(exact_sum), count)
 
 
 def display(number: Column, digits: int = 0) -> Column:

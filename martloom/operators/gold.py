@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from martloom.functions.dates import date_key
 from martloom.operators.keys import with_dense_key
 
-# Descriptive columns of the dimensions that are looked up by their attributes.
+# Names of the dimensions, of their columns and keys.
 ATTRIBUTES = {
     "DimCustomer": ["Customer_Name", "Customer_Category"],
     "DimStore": ["City", "Store_Type"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.numbers import cents, mean_money, money
+from martloom.functions.numbers import exact, mean_money, money
 from martloom.sources.staging import stage
 
 # The columns profiled by distinct values.
@@ -159,7 +159,7 @@ def distinct_products(df: DataFrame) -> DataFrame:
 
 
 def _sales_stats(df: DataFrame, column: str) -> DataFrame:
-    total, counted = F.sum(cents(F.col("Total_Cost"))), F.count("Total_Cost")
+    total, counted = F.sum(exact(F.col("Total_Cost"))), F.count("Total_Cost")
     return df.groupBy(column).agg(
         _rows().alias("sale_count"),
         mean_money(total, counted).alias("average_cost"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom import schemas
-from martloom.functions.numbers import cents, mean_money, ratio
+from martloom.functions.numbers import exact, mean_money, ratio
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -80,7 +80,7 @@ def value_ranges(sales: DataFrame) -> DataFrame:
     return sales.agg(
         F.min(cost).alias("Min_Cost"),
         F.max(cost).alias("Max_Cost"),
-        mean_money(F.sum(cents(cost)), F.count(cost)).alias("Avg_Cost"),
+        mean_money(F.sum(exact(cost)), F.count(cost)).alias("Avg_Cost"),
         F.min(items).alias("Min_Items"),
         F.max(items).alias("Max_Items"),
         ratio(F.sum(items), F.count(items)).alias("Avg_Items"),

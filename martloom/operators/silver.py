@@ -67,6 +67,7 @@ def _faults() -> dict[str, Column]:
         "no_date": F.col("Date").isNull(),
         "bad_items": F.coalesce(items <= 0, F.lit(True)),
         "bad_cost": F.coalesce((cost < 0) | F.isnan(cost), F.lit(True)),
+        "cost_out_of_range": numbers.misfit(cost),
         "no_products": basket_size <= 0,
     }
 
@@ -91,8 +92,10 @@ def valid_rows(shaped: DataFrame, counts: Observation | str = "validation") -> D
     return marked.filter("NOT _invalid").drop("_invalid")
 
 
-def rejected_rows(shaped: DataFrame) -> DataFrame:
-    return with_faults(shaped).filter(F.size("faults") > 0)
+def rejected_rows(shaped: DataFrame, counts: Observation | str = "rejection") -> DataFrame:
+    """Rows that break a rule, with ``faults``; observed and parsed once as in :func:`valid_rows`."""
+    marked = with_faults(shaped).observe(counts, F.count(F.lit(1)).alias("read"))
+    return marked.filter(F.size("faults") > 0)
 
 
 def rejection_counts(shaped: DataFrame) -> DataFrame:
@@ -109,13 +112,15 @@ def rejection_counts(shaped: DataFrame) -> DataFrame:
 
 
 def latest_per_transaction(df: DataFrame, key: str = "Transaction_ID") -> DataFrame:
-    """One row per transaction: the last ingested, ties settled by row content.
+    """One row per transaction: of the latest batch the last ingested, ties settled by row content.
+
+    A batch date counts before the load time, so loading an old batch again overrules no later one.
 
     An aggregate, not a window: each map task first reduces its own copies to one row, so even an id
     holding a large part of all rows sends one row per task through the shuffle.
     """
     others = [c for c in df.columns if c != key]
-    age = [F.col("ingestion_timestamp")] if "ingestion_timestamp" in others else []
+    age = [F.col(c) for c in ("source_batch_date", "ingestion_timestamp") if c in others]
     order = F.struct(*age, F.xxhash64(*others))
     best = df.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_best"))
     return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +10,10 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.functions import flags, text
 from martloom.functions.dates import date_key, leading_date
-from martloom.functions.numbers import to_double
+from martloom.functions.numbers import misfit, to_double
 from martloom.sources.readers import read_staging
 
+# Words and key of the missing promotion.
 UNKNOWN_PROMOTION = -1
 NO_PROMOTION = "No Promotion"
 _NULL_WORD = "(NULL)"
@@ -92,41 +92,63 @@ def load_stores(staged: DataFrame) -> DataFrame:
     )
 
 
-def _remapped_sales(staged: DataFrame, staged_dates: DataFrame) -> DataFrame:
-    days = staged_dates.select(
-        F.col("Date_Key").alias("_moment"), date_key(leading_date(F.col("Full_Date"))).alias("_day")
-    )
+def remapped_sales(staged: DataFrame, staged_dates: DataFrame | None) -> DataFrame:
+    """Priced fact rows at day grain. Without ``staged_dates`` the staged key is a day's key already."""
     sound = F.col("Transaction_ID").isNotNull() & (to_double(F.col("Total_Cost")) >= 0)
     rows = staged.filter(sound)
-    return rows.join(days, rows["Date_Key"] == days["_moment"], "left").select(
-        "Transaction_ID",
-        F.col("_day").alias("Date_Key"),
+    columns = [
         "Customer_Key",
         "Store_Key",
         F.coalesce("Promotion_Key", F.lit(UNKNOWN_PROMOTION)).alias("Promotion_Key"),
         "Total_Items",
         "Total_Cost",
+    ]
+    if staged_dates is None:
+        return rows.select("Transaction_ID", "Date_Key", *columns)
+    days = staged_dates.select(
+        F.col("Date_Key").alias("_moment"), date_key(leading_date(F.col("Full_Date"))).alias("_day")
     )
+    joined = rows.join(days, rows["Date_Key"] == days["_moment"], "left")
+    return joined.select("Transaction_ID", F.col("_day").alias("Date_Key"), *columns)
 
 
-def missing_required(df: DataFrame, table: str) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in schemas.required(table)])
+def faults(table: str) -> Column:
+    """Names of the reasons why a row may not be stored in ``table``; empty for a sound row."""
+    named = [F.when(F.col(c).isNull(), F.lit(f"no_{c}")) for c in schemas.required(table)]
+    if table == "FactSales":
+        named.append(F.when(misfit(F.col("Total_Cost")), F.lit("cost_out_of_range")))
+    return F.array_compact(F.array(*named))
 
 
 def split_by_required(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that may be stored in ``table``, and rows missing a column it requires."""
-    lacking = missing_required(df, table)
-    return df.filter(~lacking), df.filter(lacking)
+    """Rows that may be stored in ``table``, and rows that lack a column it requires or cannot be summed."""
+    sound = F.size(faults(table)) == 0
+    return df.filter(sound), df.filter(~sound)
+
+
+def enforce(loaded: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Loaded tables with sound rows only, and all other rows as ``TableName, reason, row`` (JSON text)."""
+    kept, rejects = {}, []
+    for table, df in loaded.items():
+        kept[table], lost = split_by_required(df, table)
+        rejects.append(
+            lost.select(
+                F.lit(table).alias("TableName"),
+                F.concat_ws(",", faults(table)).alias("reason"),
+                F.to_json(F.struct(*df.columns)).alias("row"),
+            )
+        )
+    return kept, reduce(DataFrame.unionByName, rejects)
 
 
 def load_sales(staged: DataFrame, staged_dates: DataFrame) -> DataFrame:
     """Fact rows at day grain; rows lacking a required key go to :func:`rejected_sales`."""
-    return split_by_required(_remapped_sales(staged, staged_dates), "FactSales")[0]
+    return split_by_required(remapped_sales(staged, staged_dates), "FactSales")[0]
 
 
 def rejected_sales(staged: DataFrame, staged_dates: DataFrame) -> DataFrame:
-    """Sound fact rows that cannot be stored because a required key is missing."""
-    return split_by_required(_remapped_sales(staged, staged_dates), "FactSales")[1]
+    """Fact rows that cannot be stored: a required key is missing, or the cost is too large to sum."""
+    return split_by_required(remapped_sales(staged, staged_dates), "FactSales")[1]
 
 
 def load_bridge(staged: DataFrame) -> DataFrame:
@@ -203,10 +225,18 @@ def load_bridge_text(staged: DataFrame) -> DataFrame:
 
 
 def load_typed(
-    spark: SparkSession, root: str, unknown_promotion: bool = False, fmt: str = "csv"
+    spark: SparkSession,
+    root: str,
+    unknown_promotion: bool = False,
+    fmt: str = "csv",
+    multiline: bool = True,
+    by_timestamp: bool = True,
 ) -> dict[str, DataFrame]:
-    """All seven tables from typed staging files under ``root``."""
-    staged = {t: read_staging(spark, root, t, typed=True, fmt=fmt) for t in schemas.TABLES}
+    """All seven tables from typed staging files under ``root``; :func:`enforce` splits off what may not be stored.
+
+    ``by_timestamp`` tells the grain of the staged dates: moments, whose keys are looked up, or days.
+    """
+    staged = {t: read_staging(spark, root, t, typed=True, fmt=fmt, multiline=multiline) for t in schemas.TABLES}
     promotions = load_promotions(staged["DimPromotion"])
     return {
         "DimCustomer": load_customers(staged["DimCustomer"]),
@@ -214,14 +244,14 @@ def load_typed(
         "DimProduct": load_products_cleaned(staged["DimProduct"]),
         "DimPromotion": with_unknown_promotion(promotions) if unknown_promotion else promotions,
         "DimStore": load_stores(staged["DimStore"]),
-        "FactSales": load_sales(staged["FactSales"], staged["DimDate"]),
-        "FactProductBridge": load_bridge(staged["FactProductBridge"]),
+        "FactSales": remapped_sales(staged["FactSales"], staged["DimDate"] if by_timestamp else None),
+        "FactProductBridge": staged["FactProductBridge"],
     }
 
 
-def load_text(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All seven tables from all-text staging files under ``root``."""
-    staged = {t: read_staging(spark, root, t, typed=False) for t in schemas.TABLES}
+def load_text(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
+    """All seven tables from all-text staging files under ``root``, null keys included."""
+    staged = {t: read_staging(spark, root, t, typed=False, multiline=multiline) for t in schemas.TABLES}
     return {
         "DimCustomer": load_customers_text(staged["DimCustomer"]),
         "DimDate": load_dates_text(staged["DimDate"]),

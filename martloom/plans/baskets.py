@@ -10,8 +10,7 @@ from martloom.functions.text import clean_product
 from martloom.plans.star import Star
 from martloom.sources.staging import stage
 
-# Baskets of more distinct products than this are spread over tasks before pairs are formed.
-WIDE_BASKET = 256
+BLOCK = 64
 
 
 def product_spellings(star: Star) -> DataFrame:
@@ -27,29 +26,31 @@ def basket_items(star: Star, spellings: DataFrame) -> DataFrame:
     Sets are merged on the map side, so a repeated product, or a transaction holding a large part of
     all rows, shrinks before the shuffle; no set can outgrow the product dimension.
     """
-    lines = star.FactProductBridge.join(spellings.select("Product_Key", "item"), "Product_Key")
+    # A line without a transaction belongs to no basket.
+    known = star.FactProductBridge.filter("Transaction_ID IS NOT NULL")
+    lines = known.join(spellings.select("Product_Key", "item"), "Product_Key")
     return lines.groupBy("Transaction_ID").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def pair_counts(baskets: DataFrame, wide: int = WIDE_BASKET) -> DataFrame:
+def pair_counts(baskets: DataFrame, block: int = BLOCK) -> DataFrame:
     """Transactions per unordered item pair (a < b); pairs are counted on the map side as they form.
 
-    A wide basket is first dealt out item by item, so its many pairs are formed in many tasks.
+    Every basket is cut into blocks of ``block`` items, and each two of its blocks, or a block with itself,
+    are a row of their own. These rows are dealt out before pairs form, so the pairs of a wide basket form in
+    many tasks, ``block`` squared at most from one row.
     """
-    rest = F.expr("slice(items, pos + 2, size(items))")
-
-    def heads(rows: DataFrame) -> DataFrame:
-        return rows.select("items", F.posexplode("items").alias("pos", "a")).select(
-            "a", rest.alias("later")
-        )
-
-    narrow = heads(baskets.filter(F.size("items").between(2, wide)))
-    dealt = heads(baskets.filter(F.size("items") > wide)).repartition("a")
-    pairs = narrow.unionByName(dealt).select("a", F.explode("later").alias("b"))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    whole = baskets.filter(F.size("items") > 1).withColumn("last", F.floor((F.size("items") - 1) / block).cast("int"))
+    cut = lambda at: F.slice("items", F.col(at) * block + 1, F.lit(block))
+    firsts = whole.select("Transaction_ID", "items", "last", F.explode(F.sequence(F.lit(0), "last")).alias("i"))
+    both = firsts.select("Transaction_ID", "items", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    dealt = both.select("Transaction_ID", "i", "j", cut("i").alias("x"), cut("j").alias("y")).repartition(
+        "Transaction_ID", "i", "j"
+    )
+    ordered = dealt.select(F.explode("x").alias("a"), "y").select("a", F.explode("y").alias("b")).filter("a < b")
+    return ordered.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def product_pairs(star: Star, n: int = 10, wide: int = WIDE_BASKET) -> DataFrame:
+def product_pairs(star: Star, n: int = 10, block: int = BLOCK) -> DataFrame:
     """The ``n`` product pairs of highest lift, with support and confidence of the first product."""
     # Stored first: one small row per product key, of known size for the join with the bridge.
     spellings = stage(product_spellings(star), "spellings")
@@ -64,7 +65,7 @@ def product_pairs(star: Star, n: int = 10, wide: int = WIDE_BASKET) -> DataFrame
     second = product.select(F.col("item").alias("b"), F.struct("Product_Name", "sold").alias("q"))
     # The item order is arbitrary; the first product of a pair is the one first in the alphabet.
     scored = (
-        pair_counts(baskets, wide)
+        pair_counts(baskets, block)
         .join(first, "a")
         .join(second, "b")
         .select("n", F.least("p", "q").alias("p1"), F.greatest("p", "q").alias("p2"))

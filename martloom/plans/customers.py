@@ -83,7 +83,7 @@ def segments_by_season(star: Star) -> DataFrame:
         "Season",
         "Customer_Category",
         F.col("sales").alias("Transactions"),
-        money(F.col("cents")).alias("Revenue"),
-        mean_money(F.col("cents"), F.col("costed")).alias("Avg_Order_Value"),
+        money(F.col("amount")).alias("Revenue"),
+        mean_money(F.col("amount"), F.col("costed")).alias("Avg_Order_Value"),
     )
     return seasons.orderBy("Season", F.desc("Revenue"), "Customer_Category")

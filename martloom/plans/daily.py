@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
@@ -13,6 +13,7 @@ from martloom.functions.dates import TIMESTAMP_FORMATS
 from martloom.operators import gold, quality, silver, warehouse
 from martloom.plans.star import Star
 from martloom.sources import readers, writers
+from martloom.sources.staging import scratch, stage
 
 
 @dataclass(frozen=True)
@@ -27,8 +28,19 @@ class Layers:
 
     @property
     def silver(self) -> str:
+        """Clean rows by batch."""
         return f"{self.root}/silver/transactions"
 
+    @property
+    def rejects(self) -> str:
+        """Rows that broke a rule, with its name, by batch."""
+        return f"{self.root}/silver/rejects"
+
+    @property
+    def current(self) -> str:
+        """The newest copy of every transaction over all batches."""
+        return f"{self.root}/silver/current"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -52,11 +64,21 @@ def bronze_batch(spark: SparkSession, layers: Layers, batch_date: str) -> DataFr
 def refine(
     spark: SparkSession, layers: Layers, batch_date: str, formats: tuple[str, ...] = TIMESTAMP_FORMATS
 ) -> dict[str, int]:
-    """Bronze batch to silver. Row counts are observed while writing, not by a second pass."""
-    seen = Observation("refine")
-    clean = silver.refine(bronze_batch(spark, layers, batch_date), formats, seen)
-    writers.write_layer(clean, layers.silver)
-    return seen.get
+    """Bronze batch to silver, clean and rejected rows; every row is parsed once. Returns row counts."""
+    with scratch(spark):
+        marked = stage(silver.with_faults(silver.shape(bronze_batch(spark, layers, batch_date), formats)), "marked")
+        sound = F.size("faults") == 0
+        clean = silver.latest_per_transaction(marked.filter(sound).drop("faults"))
+        writers.write_batch(clean, layers.silver, batch_date)
+        writers.write_batch(marked.filter(~sound), layers.rejects, batch_date)
+        counts = marked.agg(F.count(F.lit(1)).alias("read"), F.count_if(~sound).alias("dropped")).first()
+    return counts.asDict()
+
+
+def merge(spark: SparkSession, layers: Layers) -> None:
+    """All silver batches to one table: of a transaction that comes again, the latest batch's row."""
+    batches = spark.read.parquet(layers.silver).drop("batch_date")
+    writers.write_layer(silver.latest_per_transaction(batches), layers.current)
 
 
 def model(
@@ -66,15 +88,16 @@ def model(
     by_timestamp: bool = False,
 ) -> None:
     """Silver to gold. Dimensions are stored first, so the fact joins them at their known size."""
-    clean = spark.read.parquet(layers.silver)
-    builders = gold.dimension_builders(clean, by_timestamp)
-    writers.write_gold(builders, layers.gold)
-    stored = {n: spark.read.parquet(f"{layers.gold}/{n}") for n in builders}
-    facts = {
-        "FactSales": gold.sales_fact(clean, stored, null_safe, by_timestamp),
-        "FactProductBridge": gold.product_bridge(clean, stored["DimProduct"]),
-    }
-    writers.write_gold(facts, layers.gold)
+    with scratch(spark):
+        clean = spark.read.parquet(layers.current)
+        builders = gold.dimension_builders(clean, by_timestamp)
+        writers.write_gold(builders, layers.gold)
+        stored = {n: spark.read.parquet(f"{layers.gold}/{n}") for n in builders}
+        facts = {
+            "FactSales": gold.sales_fact(clean, stored, null_safe, by_timestamp),
+            "FactProductBridge": gold.product_bridge(clean, stored["DimProduct"]),
+        }
+        writers.write_gold(facts, layers.gold)
 
 
 def store(
@@ -83,13 +106,16 @@ def store(
     unknown_promotion: bool = False,
     buckets: int | None = None,
     database: str | None = None,
+    by_timestamp: bool = False,
 ) -> Star:
-    """Gold to warehouse tables; fact rows lacking a required key are set aside."""
-    tables = warehouse.load_typed(spark, layers.gold, unknown_promotion, fmt="parquet")
-    writers.write_warehouse(tables, layers.warehouse, buckets, database)
-    staged = {t: readers.read_staging(spark, layers.gold, t, fmt="parquet") for t in ("FactSales", "DimDate")}
-    rejects = warehouse.rejected_sales(staged["FactSales"], staged["DimDate"])
-    writers.write_layer(rejects, f"{layers.warehouse}_rejects/FactSales")
+    """Gold to warehouse tables; rows that lack a required column or cannot be summed are set aside."""
+    with scratch(spark):
+        loaded = warehouse.load_typed(spark, layers.gold, unknown_promotion, fmt="parquet", by_timestamp=by_timestamp)
+        if by_timestamp:  # the kept and the rejected rows share one lookup
+            loaded["FactSales"] = stage(loaded["FactSales"], "remapped")
+        kept, rejects = warehouse.enforce(loaded)
+        writers.write_warehouse(kept, layers.warehouse, buckets, database)
+        writers.write_layer(rejects, f"{layers.warehouse}_rejects", partition_by="TableName")
     return Star.stored(spark, layers.warehouse)
 
 
@@ -100,14 +126,21 @@ def run_daily(
     batch_date: str,
     null_safe: bool = False,
     unknown_promotion: bool = False,
+    multiline: bool = True,
+    by_timestamp: bool = False,
 ) -> tuple[Star, dict[str, int]]:
-    """One batch from files to warehouse; returns the star and the row counts of every layer."""
+    """One batch from files to a warehouse over all batches so far; the star and row counts of every layer.
+
+    The date dimension has a row per day. With ``by_timestamp`` it has one per moment and season, and a
+    moment under two seasons doubles its sales.
+    """
     layers = Layers(root)
-    ingest(spark, layers, paths, batch_date)
-    counts = dict(refine(spark, layers, batch_date))
-    model(spark, layers, null_safe, by_timestamp=True)
-    star = store(spark, layers, unknown_promotion)
-    stored = {"Silver": spark.read.parquet(layers.silver)}
+    ingest(spark, layers, paths, batch_date, multiline)
+    counts = refine(spark, layers, batch_date)
+    merge(spark, layers)
+    model(spark, layers, null_safe, by_timestamp)
+    star = store(spark, layers, unknown_promotion, by_timestamp=by_timestamp)
+    stored = {"Silver": spark.read.parquet(layers.current)}
     stored |= {n: spark.read.parquet(f"{layers.gold}/{n}") for n in schemas.TABLES}
     # One row per table.
     counts |= {r["TableName"]: r["RowsCount"] for r in quality.row_counts(stored).collect()}

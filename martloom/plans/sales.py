@@ -10,7 +10,7 @@ from martloom.operators.gold import KEYS
 from martloom.plans.star import Star, figures, roll_up, sales_by, sums
 
 def _revenue() -> Column:
-    return money(F.col("cents"))
+    return money(F.col("amount"))
 
 
 def _ranked(df: DataFrame, by: str, *names: str, ascending: bool = False) -> DataFrame:
@@ -32,7 +32,7 @@ def total_transactions(star: Star) -> DataFrame:
 
 def average_order_value(star: Star) -> DataFrame:
     return star.FactSales.agg(*sums(figures())).select(
-        mean_money(F.col("cents"), F.col("costed")).alias("Average_Order_Value")
+        mean_money(F.col("amount"), F.col("costed")).alias("Average_Order_Value")
     )
 
 
@@ -48,7 +48,7 @@ def headline_texts(star: Star) -> DataFrame:
     rows = {
         "Total Revenue": display(_revenue(), 0),
         "Total Transactions": display(F.col("ids"), 0),
-        "Average Order Value": display(mean_money(F.col("cents"), F.col("costed")), 2),
+        "Average Order Value": display(mean_money(F.col("amount"), F.col("costed")), 2),
         "Avg Basket Size": display(ratio(F.col("items"), F.col("counted")), 2),
     }
     pairs = [F.struct(F.lit(n).alias("Metric"), v.alias("Value")) for n, v in rows.items()]
@@ -84,8 +84,8 @@ def top_customers(star: Star, n: int = 10) -> DataFrame:
 
 def segment_contribution(star: Star) -> DataFrame:
     """Share of each customer category in the revenue of all of them."""
-    by_segment = sales_by(star, "Customer_Category").select("Customer_Category", "cents")
-    whole = by_segment.agg(money(F.sum("cents"))).scalar()
+    by_segment = sales_by(star, "Customer_Category").select("Customer_Category", "amount")
+    whole = by_segment.agg(money(F.sum("amount"))).scalar()
     return by_segment.select(
         "Customer_Category",
         _revenue().alias("Revenue"),
@@ -102,7 +102,7 @@ def top_cities(star: Star, n: int = 5) -> DataFrame:
 
 def top_store_types(star: Star, n: int = 5) -> DataFrame:
     types = sales_by(star, "Store_Type").select(
-        "Store_Type", mean_money(F.col("cents"), F.col("costed")).alias("Avg_Transaction_Value")
+        "Store_Type", mean_money(F.col("amount"), F.col("costed")).alias("Avg_Transaction_Value")
     )
     return _ranked(types, "Avg_Transaction_Value", "Store_Type").limit(n)
 
@@ -124,7 +124,7 @@ def month_over_month(star: Star) -> DataFrame:
     """Growth against the previous month that has sales; null for the first one or a zero base."""
     # One row per month of the calendar, so the unpartitioned window stays tiny.
     months = Window.orderBy("Year", "Month")
-    previous = F.lag("cents").over(months)
+    previous = F.lag("amount").over(months)
     return (
         sales_by(star, "Year", "Month")
         .withColumn("before", previous)
@@ -133,7 +133,7 @@ def month_over_month(star: Star) -> DataFrame:
             "Month",
             _revenue().alias("Revenue"),
             money(F.col("before")).alias("Prev_Month_Revenue"),
-            ratio(money(F.col("cents") - F.col("before")), money(F.col("before")), 100.0).alias(
+            ratio(money(F.col("amount") - F.col("before")), money(F.col("before")), 100.0).alias(
                 "MoM_Growth_Pct"
             ),
         )
@@ -206,7 +206,7 @@ def product_revenue(star: Star) -> DataFrame:
     lines = keyed.groupBy("Transaction_ID", "Product_Key").agg(F.count(F.lit(1)).alias("n"))
     sizes = lines.groupBy("Transaction_ID").agg(F.sum("n").alias("size"))
     # Ten decimals hold a share exactly enough that row order cannot show in the sum.
-    share = F.try_divide(F.col("Total_Cost"), F.col("size").cast("double")).cast("decimal(28,10)")
+    share = F.try_divide(F.col("Total_Cost"), F.col("size").cast("double")).try_cast("decimal(28,10)")
     shares = (
         star.FactSales.select("Transaction_ID", "Total_Cost")
         .join(sizes, "Transaction_ID")

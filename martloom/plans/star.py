@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
-from martloom.functions.numbers import cents
+from martloom.functions.numbers import exact
 from martloom.operators.gold import KEYS
 from martloom.plans.sizes import broadcast_by_size
 
@@ -47,7 +47,7 @@ class Star:
 def figures() -> dict[str, Column]:
     """Additive figures of the fact: each may be summed again after any grouping."""
     return {
-        "cents": F.sum(cents(F.col("Total_Cost"))),
+        "amount": F.sum(exact(F.col("Total_Cost"))),
         "costed": F.count("Total_Cost"),
         "sales": F.count("Transaction_ID"),
         "items": F.sum("Total_Items"),

@@ -11,7 +11,7 @@ from martloom.functions.numbers import mean_money, money, ratio
 from martloom.plans.star import Star, figures, sales_per_key, sums
 
 def _revenue() -> Column:
-    return money(F.col("cents"))
+    return money(F.col("amount"))
 
 
 def _count(name: str):
@@ -46,7 +46,7 @@ def customer_analysis(star: Star) -> DataFrame:
         "Customer_Category",
         _count("ids").alias("Total_Transactions"),
         _revenue().alias("Lifetime_Value"),
-        mean_money(F.col("cents"), F.col("costed")).alias("Average_Order_Value"),
+        mean_money(F.col("amount"), F.col("costed")).alias("Average_Order_Value"),
     )
 
 
@@ -97,7 +97,7 @@ def time_analysis(star: Star) -> DataFrame:
     daily = star.DimDate.join(sales_per_key(star, "Date_Key"), "Date_Key", "left")
     return (
         daily.groupBy(*columns)
-        .agg(F.sum("cents").alias("cents"), F.sum("sales").alias("sales"))
+        .agg(F.sum("amount").alias("amount"), F.sum("sales").alias("sales"))
         .select(
             *columns, _revenue().alias("Daily_Revenue"), _count("sales").alias("Daily_Transactions")
         )

@@ -40,7 +40,7 @@ RAW_COLUMNS = (
 )
 RAW = StructType([StructField(name, _TEXT, True) for name in RAW_COLUMNS])
 
-# Columns whose text is put into title case and cleared of placeholder words.
+# Columns whose text is put into title case and cleared of placeholder words.
 CATEGORY_COLUMNS = (
     "Customer_Name",
     "Payment_Method",
@@ -51,6 +51,7 @@ CATEGORY_COLUMNS = (
     "Promotion",
 )
 
+# Names, types and required columns of the warehouse tables.
 WAREHOUSE: dict[str, StructType] = {
     "DimCustomer": _struct(
         "Customer_Key", Customer_Key=_INT, Customer_Name=_TEXT, Customer_Category=_TEXT

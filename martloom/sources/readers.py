@@ -43,7 +43,7 @@ def format_of(path: str) -> str:
             return name
     if lowered.endswith(WORKBOOKS):
         raise ValueError(f"Workbook {path}: export it to CSV or Parquet first, Spark reads those in parallel")
-    raise ValueError(f"Unsupported file format for: {path}")
+    raise ValueError(f"No reader for files like {path}")
 
 
 def _read(spark: SparkSession, name: str, paths: list[str], multiline: bool) -> DataFrame:
@@ -85,16 +85,24 @@ def read_staging(
     typed: bool = True,
     skip_header: bool | None = None,
     fmt: str = "csv",
+    multiline: bool = True,
 ) -> DataFrame:
     """Staged rows of one warehouse table, from CSV or from Parquet brought to the same types.
 
     The typed flavour skips the header line and turns unreadable numbers into null; the text flavour
-    keeps every line, header included, as the loaders of that flavour filter it themselves.
+    keeps every line, header included, as the loaders of that flavour filter it themselves. Cells may hold
+    line breaks, as this library's writers keep them; ``multiline`` as in :func:`read_csv`.
     """
     schema = schemas.staging(table, typed)
     path = f"{root}/{table}"
     if fmt == "parquet":
         stored = spark.read.parquet(path)
-        return stored.select([F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in schema])
+        same = {f.name for f in stored.schema.fields if f.dataType == schema[f.name].dataType}
+        return stored.select(
+            [
+                (F.col(f.name) if f.name in same else F.col(f.name).cast("string").try_cast(f.dataType)).alias(f.name)
+                for f in schema
+            ]
+        )
     header = typed if skip_header is None else skip_header
-    return read_csv(spark, path, schema, multiline=False, header=header)
+    return read_csv(spark, path, schema, multiline=multiline, header=header)

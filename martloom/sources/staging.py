@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _LOCAL: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only on a local master without any."""
+    """The session's checkpoint folder; a temporary one only where driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL:
@@ -26,7 +29,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/martloom/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/martloom/{application}/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(application, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -38,3 +43,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    context = spark.sparkContext
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; results that still read one must be stored first."""
+    _remove(spark, _STAGED.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside, so use it around work whose results are stored or collected.
+
+    One thread at a time: tables that another thread stages meanwhile would go too.
+    """
+    known = _STAGED.setdefault(spark.sparkContext.applicationId, [])
+    before = set(known)
+    try:
+        yield
+    finally:
+        mine = [p for p in known if p not in before]
+        known[:] = [p for p in known if p in before]
+        _remove(spark, mine)

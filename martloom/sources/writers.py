@@ -43,9 +43,15 @@ def write_layer(
     writer.mode(mode).format(fmt).save(path)
 
 
-def write_bronze(bronze: DataFrame, path: str, batch_date: str, fmt: str = "parquet") -> None:
-    """Replace one batch's folder and leave every other batch as it is, so a re-run changes nothing."""
-    write_layer(bronze.withColumn("batch_date", F.lit(batch_date)), path, fmt, "batch_date")
+def write_batch(rows: DataFrame, path: str, batch_date: str, fmt: str = "parquet") -> None:
+    """Replace one batch's folder and leave every other batch as it is, so a re-run changes nothing.
+
+    The folder itself is written: a batch that is empty this time clears what it held before.
+    """
+    write_layer(rows, f"{path}/batch_date={batch_date}", fmt)
+
+
+write_bronze = write_batch
 
 
 Table = DataFrame | Callable[[], DataFrame]

@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from harness.tables import tables
+from martloom import schemas
 from martloom.plans import daily, sales, views
 from martloom.plans.star import Star
 from martloom.sources import writers
@@ -22,7 +23,8 @@ def test_layers_add_up(spark, loaded):
     root, _, star, counts = loaded
     layers = daily.Layers(root)
     assert counts["read"] - counts["dropped"] >= counts["Silver"] == counts["FactSales"]
-    rejected = spark.read.parquet(f"{layers.warehouse}_rejects/FactSales").count()
+    rejected = spark.read.parquet(f"{layers.warehouse}_rejects").filter("TableName = 'FactSales'").count()
+    assert counts["dropped"] == spark.read.parquet(layers.rejects).count() > 0
     assert star.FactSales.count() + rejected == counts["FactSales"]
     keys = rows(star.DimCustomer.agg(F.min("Customer_Key"), F.max("Customer_Key"), F.count("*")))
     assert keys == [(1, counts["DimCustomer"], counts["DimCustomer"])]
@@ -60,11 +62,45 @@ def test_bucketed_tables_join_without_a_shuffle(spark, loaded, tmp_path):
 def test_unknown_promotion_member_keeps_all_sales(spark, loaded, tmp_path):
     root = loaded[0]
     layers = daily.Layers(root)
-    writers.write_layer(spark.read.parquet(layers.silver), f"{tmp_path}/silver/transactions")
+    writers.write_layer(spark.read.parquet(layers.current), f"{tmp_path}/silver/current")
     other = daily.Layers(str(tmp_path))
-    daily.model(spark, other, null_safe=False, by_timestamp=True)
+    daily.model(spark, other, null_safe=False)
     star = daily.store(spark, other, unknown_promotion=True)
     total = rows(sales.total_revenue(star))[0][0]
     by_promotion = rows(sales.revenue_ranking(star, "Promotion").agg(F.sum("Revenue")))[0][0]
     assert by_promotion == pytest.approx(total)
     assert star.FactSales.filter("Promotion_Key = -1").count() > 0
+
+
+def write_files(spark, tmp_path, raw_row, name, *cells):
+    path = f"{tmp_path}/{name}.csv"
+    writers.write_layer(spark.createDataFrame([raw_row(**c) for c in cells], schemas.RAW), path, "csv")
+    return [path]
+
+
+def test_a_moment_under_two_seasons_counts_its_sales_once(spark, tmp_path, raw_row):
+    paths = write_files(spark, tmp_path, raw_row, "a", {}, {"Transaction_ID": "2", "Season": "winter"})
+    star, counts = daily.run_daily(spark, f"{tmp_path}/day", paths, "2024-01-01")
+    assert counts["FactSales"] == counts["Silver"] == 2
+    assert rows(sales.total_revenue(star)) == [(25.0,)]
+    doubled, _ = daily.run_daily(spark, f"{tmp_path}/moment", paths, "2024-01-01", by_timestamp=True)
+    assert doubled.FactSales.count() == 4
+
+
+def test_batches_add_up_and_are_replaced_one_by_one(spark, tmp_path, raw_row):
+    root, layers = f"{tmp_path}/lake", daily.Layers(f"{tmp_path}/lake")
+    first = write_files(spark, tmp_path, raw_row, "a", {}, {"Transaction_ID": "2"}, {"Transaction_ID": "8", "Total_Cost": "1e300"})
+    second = write_files(spark, tmp_path, raw_row, "b", {"City": "rome"}, {"Transaction_ID": "3", "Total_Cost": "0.004"})
+    spark.createDataFrame([], schemas.RAW).write.json(f"{tmp_path}/none.json")
+
+    def cities(paths, day):
+        daily.run_daily(spark, root, paths, day)
+        return sorted(rows(spark.read.parquet(layers.current).select("Transaction_ID", "City")))
+
+    assert cities(first, "2024-01-01") == [("1", "Oslo"), ("2", "Oslo")]
+    assert cities(second, "2024-01-02") == [("1", "Rome"), ("2", "Oslo"), ("3", "Oslo")]
+    assert cities(first, "2024-01-01") == [("1", "Rome"), ("2", "Oslo"), ("3", "Oslo")]
+    assert rows(sales.total_revenue(Star.stored(spark, layers.warehouse))) == [(25.004,)]
+    faults = spark.read.parquet(layers.rejects).selectExpr("Transaction_ID", "faults[0]")
+    assert rows(faults) == [("8", "cost_out_of_range")]
+    assert cities([f"{tmp_path}/none.json"], "2024-01-02") == [("1", "Oslo"), ("2", "Oslo")]

@@ -38,9 +38,14 @@ def test_numbers_never_fail(spark):
     ]
 
 
-def test_cents_are_exact(spark):
-    df = spark.range(1000).select(F.lit(0.1).alias("x"))
-    assert rows(df.agg(numbers.money(F.sum(numbers.cents(F.col("x")))))) == [(100.0,)]
+def test_money_sums_are_exact_and_keep_small_amounts(spark):
+    total = numbers.money(F.sum(numbers.exact(F.col("x"))))
+    for value, count, expected in ((0.1, 1000, 100.0), (0.004, 5, 0.02), (9e17, 1000, 9e20)):
+        assert rows(spark.range(count).select(F.lit(value).alias("x")).agg(total)) == [(expected,)]
+
+
+def test_amounts_too_large_to_sum_are_told_apart(spark):
+    assert column(spark, [5.0, 1e300, 9e17, None], numbers.misfit) == [False, True, False, False]
 
 
 def test_ratio_of_zero_is_null(spark):

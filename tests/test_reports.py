@@ -107,14 +107,15 @@ def brute_pairs(lines, names, total):
     }
 
 
-@pytest.mark.parametrize("wide", [2, 256])
-def test_pairs_match_brute_force_with_and_without_wide_baskets(spark, wide):
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_pairs_match_brute_force_in_blocks_of_any_size(spark, block):
     names = {p: f"name{p % 9}" for p in range(12)}
     lines = [(t, (t * 7 + k * k) % 12) for t in range(60) for k in range(t % 8)] + [(0, p) for p in range(12)]
+    lines += [(None, 1), (None, 2)]  # a missing id is no basket
     spelled = [(p, f"['{n.title()}' ") if p < 9 else (p, n) for p, n in names.items()]
     star = make_star(spark, sales=[sale(t, 1.0) for t in range(60)], bridge=lines, products=spelled)
-    expected = brute_pairs(lines, names, 60)
-    found = {r[:2]: r[2:] for r in rows(baskets.product_pairs(star, n=1000, wide=wide))}
+    expected = brute_pairs(lines[:-2], names, 60)
+    found = {r[:2]: r[2:] for r in rows(baskets.product_pairs(star, n=1000, block=block))}
     assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in expected.items()}
     for pair, (_, lift) in expected.items():
         assert found[pair][-1] == pytest.approx(lift, abs=0.0051)

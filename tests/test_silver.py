@@ -27,6 +27,7 @@ def test_refine_cleans_types_and_keeps_one_row(bronze_of):
         ({"Total_Cost": "-0.01"}, "bad_cost"),
         ({"Total_Cost": "NaN"}, "bad_cost"),
         ({"Total_Cost": "abc"}, "bad_cost"),
+        ({"Total_Cost": "1e300"}, "cost_out_of_range"),
         ({"Product": "[]"}, "no_products"),
         ({"Product": None}, "no_products"),
     ],
@@ -61,6 +62,14 @@ def test_latest_copy_wins_whatever_the_row_order(spark, bronze_of):
         assert sorted(rows(kept.select("Transaction_ID", "City"))) == [("1", "new"), ("2", "oslo")]
 
 
+def test_a_later_batch_wins_even_if_an_old_one_is_loaded_again(bronze_of):
+    bronze = bronze_of({"City": "old"}, {"City": "new"})
+    day = F.when(F.col("City") == "new", "2024-03-07").otherwise("2024-03-06")
+    loaded = F.timestamp_seconds(F.when(F.col("City") == "new", 100).otherwise(900))
+    bronze = bronze.withColumns({"source_batch_date": day, "ingestion_timestamp": loaded})
+    assert rows(silver.latest_per_transaction(bronze).select("City")) == [("new",)]
+
+
 def test_ties_are_settled_by_content(bronze_of):
     bronze = bronze_of({"City": "a"}, {"City": "b"}, {"City": "c"}).withColumn(
         "ingestion_timestamp", F.timestamp_seconds(F.lit(1))

@@ -45,8 +45,19 @@ def test_bronze_rewrite_touches_only_its_batch(spark, tmp_path, bronze_of):
     writers.write_bronze(bronze_of({}), root, "2024-01-01")
     writers.write_bronze(bronze_of({}, {"Transaction_ID": "2"}), root, "2024-01-02")
     writers.write_bronze(bronze_of({}, {"Transaction_ID": "2"}), root, "2024-01-02")
-    stored = spark.read.parquet(root).groupBy(F.col("batch_date").cast("string")).count()
-    assert sorted(rows(stored)) == [("2024-01-01", 1), ("2024-01-02", 2)]
+    stored = lambda: spark.read.parquet(root).groupBy(F.col("batch_date").cast("string")).count()
+    assert sorted(rows(stored())) == [("2024-01-01", 1), ("2024-01-02", 2)]
+    writers.write_bronze(bronze_of({}).filter("false"), root, "2024-01-02")
+    assert rows(stored()) == [("2024-01-01", 1)]
+
+
+def test_staged_cells_keep_line_breaks_and_quotes(spark, tmp_path):
+    written = [(1, 'Ann\n"Lee", jr', "Gold"), (2, None, "a\r\nb")]
+    df = spark.createDataFrame(written, "Customer_Key int, Customer_Name string, Customer_Category string")
+    writers.write_layer(df, f"{tmp_path}/DimCustomer", "csv")
+    assert sorted(rows(readers.read_staging(spark, str(tmp_path), "DimCustomer"))) == written
+    text = readers.read_staging(spark, str(tmp_path), "DimCustomer", typed=False).filter("Customer_Key <> 'Customer_Key'")
+    assert sorted(rows(text)) == [(str(k), n, c) for k, n, c in written]
 
 
 def test_batch_filter_prunes_partitions(spark, tmp_path, bronze_of):

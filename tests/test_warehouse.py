@@ -64,12 +64,37 @@ def test_sales_load_remaps_dates_and_sets_rejects_aside(spark):
             (None, 7, 1, 1, 4, 2, 5.0),
             (5, 7, None, 1, 4, 2, 5.0),
             (6, 7, 1, 1, 4, 2, float("nan")),
+            (7, 7, 1, 1, 4, 2, 1e300),
         ],
         "Transaction_ID long, Date_Key int, Customer_Key int, Store_Key int, Promotion_Key int, "
         "Total_Items int, Total_Cost double",
     )
     assert rows(warehouse.load_sales(staged, dates)) == [(1, 20240305, 1, 1, -1, 2, 5.0)]
-    assert sorted(r[0] for r in rows(warehouse.rejected_sales(staged, dates))) == [2, 5]
+    assert sorted(r[0] for r in rows(warehouse.rejected_sales(staged, dates))) == [2, 5, 7]
+
+
+def test_rows_lacking_a_required_column_are_set_aside_with_the_reason(spark):
+    loaded = {
+        "DimStore": spark.createDataFrame([(1, "Oslo", "a"), (None, "Rome", "b")], "Store_Key int, City string, Store_Type string"),
+        "FactProductBridge": spark.createDataFrame([(1, 2), (None, None)], "Transaction_ID long, Product_Key int"),
+    }
+    kept, rejects = warehouse.enforce(loaded)
+    assert rows(kept["DimStore"]) == [(1, "Oslo", "a")] and rows(kept["FactProductBridge"]) == [(1, 2)]
+    assert sorted(rows(rejects)) == [
+        ("DimStore", "no_Store_Key", '{"City":"Rome","Store_Type":"b"}'),
+        ("FactProductBridge", "no_Transaction_ID,no_Product_Key", "{}"),
+    ]
+
+
+def test_day_keys_need_no_lookup(spark):
+    staged = spark.createDataFrame(
+        [(1, 20240305, 1, 1, None, 2, 5.0)],
+        "Transaction_ID long, Date_Key int, Customer_Key int, Store_Key int, Promotion_Key int, "
+        "Total_Items int, Total_Cost double",
+    )
+    found = warehouse.remapped_sales(staged, None)
+    assert rows(found) == [(1, 20240305, 1, 1, -1, 2, 5.0)]
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_product_loaders_differ_in_marks(spark):

@@ -16,9 +16,10 @@ OP4 = """
 WITH t AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 w AS (
-  SELECT doc_id, unnest(range(0, length(h) // 2 - 49)) AS p, h FROM t),
+  SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 100)) AS m
+  FROM (SELECT doc_id, unnest(range(0, length(h) // 2 - 49)) AS p, h FROM t) AS at_byte),
 g AS (
-  SELECT doc_id, p, min(doc_id) OVER (PARTITION BY sha256(substr(h, 2 * p + 1, 100))) AS d0 FROM w),
+  SELECT doc_id, p, d0 FROM w JOIN (SELECT m, min(doc_id) AS d0 FROM w GROUP BY m) AS firsts USING (m)),
 r AS (
   SELECT doc_id, p, max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS q
   FROM g WHERE d0 < doc_id),

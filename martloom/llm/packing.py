@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
 import re
-import unicodedata
 import zlib
+from array import array
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +19,15 @@ from martloom.sources.staging import stage
 CAPACITY = 2048
 POOL = 1 << 17
 END_ID = 0
-_CACHED = 1 << 18
-_BATCH = 128
+_WORDS = 1 << 18
+_BATCH = 1024
 # White space other than these four: a text that has any goes to the tokenizer as a whole.
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000]")
-_RUNS = re.compile(r"[^\W\d_]+|[\d_\W]+")
+# Up to U+024F, but for U+0130, lower case is one character for one and nothing is ever composed. An apostrophe
+# may begin a contraction and "<|" a special token, which are no plain runs.
+_NOT_PLAIN = re.compile(r"[^\x00-\u012f\u0131-\u024f]|'|<\|")
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS} \\t\\n\\r]+")
 
 
 def default_tokenizer() -> str:
@@ -29,44 +36,89 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Memory:
+    """A bounded store of encoded text in two generations: what was used since the last turn outlives the next."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """What has to be encoded anew; the rest of ``wanted`` is in ``young`` afterwards."""
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        unknown = wanted.difference(young)
+        if old:
+            known = unknown.intersection(old)
+            young.update(zip(known, map(old.__getitem__, known)))
+            unknown -= known
+        return unknown
+
+
 class Encoder:
-    """Ids as little-endian 32-bit bytes; what stands between white space is encoded once and remembered.
+    """Ids as little-endian 32-bit bytes; every run of letters or of other characters is encoded once and remembered.
 
-    The tokenizer never joins characters across white space, nor a run of letters with what is no
-    letter, but for contractions after an apostrophe, special tokens and marks that it composes; such
-    pieces are encoded whole. The caches hold a bounded number of pieces and start anew when full.
+    This holds for a tokenizer that evens out white space, lowers case, and takes runs of letters as words
+    that end in a marked token: it never joins characters across white space or across the end of a run of
+    letters. Texts that are not plain go piece by piece between white space, those with unusual white space
+    as a whole, and so do all texts of any other tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, missing: list[str], into: dict[str, bytes]) -> None:
-        for piece, found in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            into[piece] = np.array(found.ids, "<u4").tobytes()
-
-    @staticmethod
-    def _splits(piece: str) -> bool:
-        return "'" not in piece and "<|" not in piece and unicodedata.is_normalized("NFC", piece)
+        self.tokenizer, self.known = Tokenizer.from_file(path), Memory(_WORDS)
+        with open(path, encoding="utf-8") as file:
+            shape = json.load(file)
+        steps = [n["type"] for n in (shape.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (shape.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
+        mark = shape["model"].get("end_of_word_suffix")
+        self.by_word = bool(mark) and steps == ["NFC", "Replace", "Lowercase"] and r"|[\p{L}]+|[\p{N}]|" in cuts
+        if self.by_word:
+            self.ends = np.zeros(len(shape["model"]["vocab"]), bool)
+            self.ends[[i for token, i in shape["model"]["vocab"].items() if token.endswith(mark)]] = True
+            # The same model over words that are lower-case letters already: nothing to even out or to find.
+            bytewise = shape["pre_tokenizer"]["pretokenizers"][1:]
+            plain = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *bytewise]}
+            self.plain = Tokenizer.from_str(json.dumps(shape | {"normalizer": None, "added_tokens": [], "pre_tokenizer": plain}))
+
+    def _learn(self, missing: set[str], plain: set[str]) -> None:
+        young = self.known.young
+        simple = [w for w in missing if w.isalpha() and w in plain]
+        parts = [simple[low : low + 1000] for low in range(0, len(simple), 1000)]
+        joined = self.plain.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, found in zip(parts, joined):
+            ids = np.array(found.ids, "<u4")
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
+                young[word] = raw[start:end]
+                start = end
+        rest = list(missing.difference(simple))
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            young[piece] = array("I", found.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > _CACHED:
-            self.pieces.clear()
-        if len(self.words) > _CACHED:
-            self.words.clear()
-        odd = [_ODD_SPACE.search(t) is not None for t in texts]
-        split = [[t] if o else t.split() for t, o in zip(texts, odd)]
-        pieces, words = self.pieces, self.words
-        missing = list({p for row in split for p in row if p not in pieces})
-        plain = {p: _RUNS.findall(p.lower() if p.isascii() else p) for p in missing if self._splits(p)}
-        self._learn(list({w for run in plain.values() for w in run if w not in words}), words)
-        for piece, run in plain.items():
-            pieces[piece] = b"".join([words[w] for w in run])
-        self._learn([p for p in missing if p not in plain], pieces)
-        return [b"".join(map(pieces.__getitem__, row)) for row in split]
+        split, plain, other = [], set(), set()
+        for text in texts:
+            if not self.by_word or _ODD_SPACE.search(text):
+                split.append([text])
+                other.add(text)
+            elif _NOT_PLAIN.search(text):
+                split.append(text.split())
+                other.update(split[-1])
+            else:
+                split.append(_RUNS.findall(text.lower()))
+                plain.update(split[-1])
+        self._learn(self.known.missing(plain | other), plain)
+        known = self.known.young
+        return [b"".join(map(known.__getitem__, row)) for row in split]
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker: what it learned serves the tasks that come later."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -74,7 +126,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def work(batches):
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for low in range(0, batch.num_rows, _BATCH):

@@ -247,7 +247,7 @@ FROM g_fact f LEFT JOIN g_moment d ON f.Date_Key = d.Date_Key WHERE f.Total_Cost
 
 # The second batch, and what is current after both.
 _PARTS["raw2"] = """
-SELECT * REPLACE ('Second City' AS City, '9' AS Total_Items) FROM raw WHERE CAST(Transaction_ID AS BIGINT) % 7 = 0"""
+SELECT * REPLACE ('Second City' AS City, '9' AS Total_Items) FROM raw WHERE lower(trim(Store_Type)) = 'pop-up stand'"""
 for _name, _source in (("typed", "raw"), ("shaped", "typed"), ("valid", "shaped"), ("silver", "valid")):
     _PARTS[f"{_name}2"] = re.sub(rf"\bFROM {_source}\b", f"FROM {_source}2", _PARTS[_name])
 _PARTS["current"] = """

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from martloom.llm.windows import CHUNK, Runs, Sketch, mixed, rolling, sketch_of, window_runs
 from martloom.sources.staging import stage
 
-_FLUSH = 1 << 20  # runs that a task holds before it deals them out
+_FLUSH = 1 << 19  # runs that a task holds before it deals them out
 _BUCKETS = 4096
 _BASE = 0xC2B2AE3D27D4EB4F
 REMOVED = "doc_id long, start long, stop long"

@@ -20,7 +20,7 @@ WINDOW = 50
 GRAM = 20
 LOG2 = 28
 SHALLOW = 16
-_CHUNK = 1 << 22
+_CHUNK = 1 << 21
 
 
 class BlindTrie:
@@ -180,7 +180,7 @@ def _by_suffix(spec: Spec):
                             held[name] = (d, [at + s])
                         elif d == known[0]:
                             known[1].append(at + s)
-                if len(held) >= 1 << 18:
+                if len(held) >= 1 << 16:
                     yield from emit(held)
                     held = {}
             if held:

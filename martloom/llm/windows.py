@@ -152,7 +152,7 @@ def sketch_of(
             for keys in keys_of(batch):
                 waiting.append(keys)
                 size += len(keys)
-                if size >= 1 << 21:
+                if size >= 1 << 20:
                     yield from counted(np.concatenate(waiting))
                     waiting, size = [], 0
         if size:

@@ -123,7 +123,10 @@ def equal_windows(buffer: bytes, starts: np.ndarray, width: int = WINDOW) -> tup
 
 
 def settle_chunk(docs: np.ndarray, starts: np.ndarray, contents: list[bytes], window: int) -> pa.RecordBatch:
-    """Ranges whose windows also start in a smaller document of this chunk; equal contents count as one."""
+    """Ranges whose windows also start in a smaller document of this chunk; equal contents count as one.
+
+    Runs of several windows that equal an earlier one as a whole are left out: they are settled before.
+    """
     names: dict[bytes, int] = {}
     variant = np.array([names.setdefault(c, len(names)) for c in contents])
     least = np.full(len(names), np.iinfo(np.int64).max)
@@ -139,34 +142,42 @@ def settle_chunk(docs: np.ndarray, starts: np.ndarray, contents: list[bytes], wi
     np.minimum.at(smallest, group, least[owner[order]])
     gone = np.zeros(len(owner), bool)
     gone[order] = smallest[group] < least[owner[order]]
-    # Rows of larger documents than their content's smallest went before; the others lose these windows.
+    # Rows of larger documents than their content's smallest went before if they are whole runs, but windows
+    # that parted company go here; rows of the smallest lose the windows that another content has earlier.
+    alone = np.flatnonzero((docs > least[variant]) & (sizes[variant] == 1))
     first = np.cumsum(sizes) - sizes
     mine = np.flatnonzero((docs == least[variant]) & (np.add.reduceat(gone, first)[variant] > 0))
     count = sizes[variant[mine]]
     row = np.repeat(mine, count)
     step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     lost = gone[first[variant[row]] + step]
-    row, begin = row[lost], (starts[row] + step)[lost]
+    row = np.concatenate([row[lost], alone])
+    begin = np.concatenate([(starts[np.repeat(mine, count)] + step)[lost], starts[alone]])
     return merged_ranges(docs[row], begin, begin + window)
 
 
 def _by_suffix(spec: Spec):
     def by_window(rows: DataFrame, sketch, contested) -> DataFrame:
-        def emit(held):
+        def emit(held, lost):
             batch = [(k, d, s, c) for (k, c), (d, at) in held.items() for s in at]
-            keys, docs, starts, contents = zip(*batch)
+            keys, docs, starts, contents = zip(*batch) if batch else ((), (), (), ())
+            known = merged_ranges(*np.array(lost, np.int64).reshape(-1, 3).T)
+            no = known.num_rows
+            # Ranges that a task finds by itself travel beside the contents that others may have earlier.
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.array(keys, np.uint64).view(np.int64)),
-                    pa.array(docs, pa.int64()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(contents, pa.binary()),
+                    pa.concat_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.arange(no))]),
+                    pa.concat_arrays([pa.array(docs, pa.int64()), known.column("doc_id")]),
+                    pa.concat_arrays([pa.array(starts, pa.int64()), known.column("start")]),
+                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), known.column("stop")]),
+                    pa.concat_arrays([pa.array(contents, pa.binary()), pa.nulls(no, pa.binary())]),
                 ],
-                ["key", "doc_id", "start", "content"],
+                ["key", "doc_id", "start", "stop", "content"],
             )
 
         def work(batches):
             held: dict[tuple[int, bytes], tuple[int, list[int]]] = {}
+            lost: list[tuple[int, int, int]] = []
             for part, first, last, key, doc, shift in repeats.contested_runs(batches, spec, sketch.value, contested.value):
                 raw = part.values.astype(np.uint8).tobytes()
                 hot = sketch.value.very_full(key)
@@ -178,13 +189,20 @@ def _by_suffix(spec: Spec):
                         known = held.get(name)
                         if known is None or d < known[0]:
                             held[name] = (d, [at + s])
+                            if single and known:
+                                lost += [(known[0], x, x + spec.window) for x in known[1]]
                         elif d == known[0]:
                             known[1].append(at + s)
+                        elif single:
+                            lost.append((d, at + s, at + s + spec.window))
                 if len(held) >= 1 << 16:
-                    yield from emit(held)
-                    held = {}
-            if held:
-                yield from emit(held)
+                    yield from emit(held, lost)
+                    held, lost = {}, []
+                elif len(lost) >= 1 << 16:
+                    yield from emit({}, lost)
+                    lost = []
+            if held or lost:
+                yield from emit(held, lost)
 
         def sort(batches):
             held, size = [], 0
@@ -194,6 +212,12 @@ def _by_suffix(spec: Spec):
                 return settle_chunk(docs, starts, [c for t in tables for c in t.column("content").to_pylist()], spec.window)
 
             for batch in batches:
+                ranges = batch.filter(batch.column("content").is_null())
+                if ranges.num_rows:
+                    yield ranges.select(["doc_id", "start", "stop"])
+                batch = batch.filter(batch.column("content").is_valid())
+                if not batch.num_rows:
+                    continue
                 keys = batch.column("key").to_numpy()
                 cut = 0
                 if held and size >= _CHUNK:  # between two minimizers only
@@ -210,7 +234,7 @@ def _by_suffix(spec: Spec):
             if held:
                 yield done(held)
 
-        met = rows.mapInArrow(work, "key long, doc_id long, start long, content binary")
+        met = rows.mapInArrow(work, "key long, doc_id long, start long, stop long, content binary")
         return met.repartition("key").sortWithinPartitions("key").mapInArrow(sort, REMOVED)
 
     return by_window

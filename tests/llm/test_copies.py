@@ -1,6 +1,7 @@
 """Exact, near and partial copies against brute force."""
 
 import hashlib
+import random
 import re
 import string
 from collections import defaultdict
@@ -10,6 +11,7 @@ import xxhash
 
 from martloom.llm import exact, simhash, substring, suffix
 from martloom.llm.components import components
+from martloom.llm.windows import HOT
 
 ASCII_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -147,6 +149,15 @@ def test_suffix_dedup_matches_brute_force(frame, copied_rows, odd_rows):
         assert sorted(((r[0], r[1], r[2], bytes(r[3])) for r in found.collect()), key=repr) == removed_bytes(rows, width)
 
 
+def test_suffix_dedup_removes_a_passage_that_very_many_documents_share(frame):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices(string.ascii_letters, k=n))
+    passages = [noise(56), noise(150)]
+    rows = [(i, f"{noise(30)}{passages[i % 2]}{noise(30)}") for i in rng.sample(range(9000), 2 * HOT + 500)]
+    found = suffix.remove_repeated_bytes(frame(rows), log2=20)
+    assert sorted(((r[0], r[1], r[2], bytes(r[3])) for r in found.collect()), key=repr) == removed_bytes(rows, 50)
+
+
 def test_equal_windows_are_sorted_and_grouped():
     rng = np.random.default_rng(1)
     buffer = bytes(rng.choice([97, 98], 4000)) + b"abababab" * 60

@@ -23,12 +23,27 @@ _QUARTERS = 4
 _AT_ONCE = 1 << 18  # shingles whose bits are counted together
 
 
-def text_fingerprints(texts, shingle_words: int = SHINGLE_WORDS, lanes: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """Hashes of a text's shingles in order, repeats included; none for null and wordless texts.
+
+    A-Z is lower-cased and words end at ASCII white space, which is what ``bytes`` methods do.
+    """
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    count = max(1, len(words) - shingle_words + 1)
+    shingles = map(b" ".join, zip(*(words[k:] for k in range(min(shingle_words, len(words))))))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count)
+
+
+def text_fingerprints(
+    texts, shingle_words: int = SHINGLE_WORDS, lanes: int = 1, distinct: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints (texts x lanes, uint64) and numbers of shingles; null and wordless texts get zeros.
 
-    A-Z is lower-cased and words end at ASCII white space, which is what ``bytes`` methods do. A bit is
-    set if it is set in over half the hashes of the shingles, repeats included. The first lane takes the
-    hashes as they are, further lanes mix them anew.
+    A bit is set if it is set in over half the hashes of the shingles. Repeats count, unless only
+    ``distinct`` shingles are asked for. The first lane takes the hashes as they are, further lanes mix
+    them anew.
     """
     found, sizes_of = np.zeros((len(texts), lanes), np.uint64), np.zeros(len(texts), np.int64)
     waiting: list[tuple[int, np.ndarray]] = []
@@ -53,13 +68,13 @@ def text_fingerprints(texts, shingle_words: int = SHINGLE_WORDS, lanes: int = 1)
         waiting.clear()
 
     for i, text in enumerate(texts):
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
+        hashes = shingle_hashes(text, shingle_words)
+        if not len(hashes):
             continue
-        count = max(1, len(words) - shingle_words + 1)
-        shingles = map(b" ".join, zip(*(words[k:] for k in range(min(shingle_words, len(words))))))
-        waiting.append((i, np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count)))
-        size += count
+        if distinct:
+            hashes = np.unique(hashes)
+        waiting.append((i, hashes))
+        size += len(hashes)
         if size >= _AT_ONCE:
             settle()
             size = 0
@@ -246,7 +261,8 @@ def similar_documents(
     """``(doc_id, component_id)`` of documents linked to another; the smallest id of the group names it.
 
     The link is an estimate: fingerprints of ``lanes`` x 64 bits differ in no more bits than Jaccard
-    ``similarity`` makes one expect, plus one deviation. Sets that similar differ in size by that factor at
+    ``similarity`` makes one expect, plus one deviation. Fingerprints and sizes are those of the sets: a
+    shingle counts once, however often a text repeats it. Sets that similar differ in size by that factor at
     most, so documents lie in cells by the logarithm of their number of shingles, only neighbouring cells
     meet, tile by tile, and each pair of tiles returns at most a spanning forest of its links.
 
@@ -260,7 +276,7 @@ def similar_documents(
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                fps, sizes = text_fingerprints(part.column("text").to_pylist(), shingle_words, lanes)
+                fps, sizes = text_fingerprints(part.column("text").to_pylist(), shingle_words, lanes, distinct=True)
                 raw = [row.tobytes() for row in fps]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(raw, pa.binary()), pa.array(sizes)], ["doc_id", "fps", "n"]

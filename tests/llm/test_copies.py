@@ -123,6 +123,15 @@ def test_near_copies_are_grouped_and_others_left(frame):
     assert simhash.similar_documents(frame([])).count() == 0
 
 
+def test_near_copies_are_found_even_if_one_repeats_itself(frame):
+    words = [f"word{i}" for i in range(300)]
+    once, twice = " ".join(words), " ".join(words + words)
+    thrice = " ".join(words[:50] * 8 + words[50:])
+    rows = [(5, once), (9, twice), (2, thrice), (4, " ".join(f"x{i}" for i in range(300)))]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(frame(rows)).collect()}
+    assert found == {2: 2, 5: 2, 9: 2}
+
+
 def removed_bytes(rows, width):
     raw = [(i, (t or "").encode()) for i, t in rows]
     first = {}

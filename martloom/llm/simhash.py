@@ -229,11 +229,17 @@ def near_duplicates(
 LANES = 4
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
+_SMALL = 8  # sets with fewer shingles differ in more bits than the angle between them says
+_WIDER = 1.25  # 4 of 5 shingles: 3 bits in 16, the most of all small sets at 0.8
+SLACK = 4.0
+GROUP_TILE = 256
+_TILE_SHINGLES = 1 << 20
+_COLUMNS = 4096
 
 
-def radius_for(similarity: float, bits: int, slack: float = 1.0) -> int:
+def radius_for(similarity: float, bits: int, slack: float, small: bool = False) -> int:
     """Differing bits to expect of two shingle sets of that Jaccard similarity, and ``slack`` deviations."""
-    share = acos(2 * similarity / (1 + similarity)) / pi
+    share = acos(2 * similarity / (1 + similarity)) / pi * (_WIDER if small else 1)
     return round(bits * share + slack * sqrt(bits * share * (1 - share)))
 
 
@@ -249,6 +255,94 @@ def _wide_links(a: np.ndarray, b: np.ndarray, radius: int, first_radius: int) ->
     return left, right
 
 
+def incidence(sets: list[np.ndarray], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the members of ``sets`` among the sorted ``names``, by column."""
+    values, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+    there = names[at] == values
+    rows, at = rows[there], at[there]
+    order = np.argsort(at, kind="stable")
+    return rows[order], at[order]
+
+
+def exact_jaccard(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarity of every pair of non-empty sets, each an array of distinct numbers."""
+    common = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    shared = np.zeros((len(a), len(b)), np.int64)
+    if len(common):
+        sides = [incidence(x, common) for x in (a, b)]
+        for low in range(0, len(common), _COLUMNS):
+            blocks = []
+            for (rows, at), sets in zip(sides, (a, b)):
+                first, last = np.searchsorted(at, (low, low + _COLUMNS))
+                block = np.zeros((len(sets), min(_COLUMNS, len(common) - low)), np.float32)
+                block[rows[first:last], at[first:last] - low] = 1
+                blocks.append(block)
+            shared += (blocks[0] @ blocks[1].T).astype(np.int64)
+    sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])
+    return shared / (sizes - shared)
+
+
+def _confirmed(rows: DataFrame, groups: DataFrame, similarity: float, shingle_words: int, tile: int) -> DataFrame:
+    """``(u, v)``: links between members of one of ``groups(doc_id, root)`` whose shingle sets are that similar.
+
+    Large groups are cut into tiles, and each pair of tiles returns at most a spanning forest of its links.
+    """
+
+    def sets_of(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                sets = [np.unique(shingle_hashes(t, shingle_words)) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("root"),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()),
+                    ],
+                    ["doc_id", "root", "n", "shingles"],
+                )
+
+    chosen = rows.join(groups, "doc_id").select("doc_id", "root", "text")
+    members = stage(
+        chosen.mapInArrow(sets_of, "doc_id long, root long, n long, shingles binary").where("n > 0"), "similar-sets"
+    )
+    needed = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n") / _TILE_SHINGLES)).cast("int")
+    sizes = stage(members.groupBy("root").agg(needed.alias("n_tiles")), "similar-groups")
+    tiles = stage(
+        members.join(sizes, "root")
+        .groupBy("root", "n_tiles", F.pmod(F.xxhash64("doc_id"), "n_tiles").cast("int").alias("tile"))
+        .agg(F.collect_list(F.struct("doc_id", "shingles")).alias("members")),
+        "similar-group-tiles",
+    )
+    asked = tiles.select(
+        "root", F.col("members").alias("a"), F.explode(F.sequence("tile", F.col("n_tiles") - 1)).alias("tile")
+    )
+    pairs = asked.join(tiles.select("root", "tile", F.col("members").alias("b")), ["root", "tile"]).select("a", "b")
+
+    def compare(batches):
+        for batch in batches:
+            us, vs = [], []
+            for i in range(batch.num_rows):
+                ids, sets = [], []
+                for name in ("a", "b"):
+                    members = batch.column(name)[i].values
+                    ids.append(members.field("doc_id").to_numpy())
+                    sets.append([np.frombuffer(x, np.uint64) for x in members.field("shingles").to_pylist()])
+                near = exact_jaccard(*sets) >= similarity
+                left, right = np.nonzero(near)
+                if len(left) > sum(near.shape):
+                    left, right = _forest(near)
+                us.append(ids[0][left])
+                vs.append(ids[1][right])
+            if us:
+                u, v = np.concatenate(us), np.concatenate(vs)
+                yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
+
+    return pairs.mapInArrow(compare, "u long, v long")
+
+
 def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -257,20 +351,24 @@ def similar_documents(
     shingle_words: int = SIMILAR_WORDS,
     lanes: int = LANES,
     tile: int = TILE,
+    group_tile: int = GROUP_TILE,
 ) -> DataFrame:
     """``(doc_id, component_id)`` of documents linked to another; the smallest id of the group names it.
 
-    The link is an estimate: fingerprints of ``lanes`` x 64 bits differ in no more bits than Jaccard
-    ``similarity`` makes one expect, plus one deviation. Fingerprints and sizes are those of the sets: a
-    shingle counts once, however often a text repeats it. Sets that similar differ in size by that factor at
-    most, so documents lie in cells by the logarithm of their number of shingles, only neighbouring cells
-    meet, tile by tile, and each pair of tiles returns at most a spanning forest of its links.
+    Documents are linked if the sets of their shingles, as 64-bit hashes, have a Jaccard similarity of
+    ``similarity`` or more; a shingle counts once, however often a text repeats it. Candidates come from
+    fingerprints of ``lanes`` x 64 bits that differ in no more bits than that similarity makes one expect,
+    plus ``SLACK`` deviations, which a link misses with a chance of about one in 30,000. Sets that similar
+    differ in size by that factor at most, so documents lie in cells by the logarithm of their number of
+    shingles, only neighbouring cells meet, tile by tile, and each pair of tiles returns at most a spanning
+    forest of its candidates. The groups that these form hold every true link between candidates, so the
+    sets are compared in full within each group.
 
     Null, empty and wordless texts and rows without an id are never linked. Repeated rows count as one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    radius = radius_for(similarity, 64 * lanes)
-    first_radius = radius_for(similarity, 64, 4.0)
+    radii = {small: tuple(radius_for(similarity, bits, SLACK, small) for bits in (64 * lanes, 64)) for small in (False, True)}
+    small_cell = int(log(_SMALL) / log(1 / similarity))
 
     def work(batches):
         for batch in batches:
@@ -298,9 +396,9 @@ def similar_documents(
         .withColumn("other", F.col("cell") + F.col("step"))
         .join(F.broadcast(cells.select(F.col("cell").alias("other"), "n_tiles")), "other")
         .withColumn("first", F.when(F.col("step") == 0, F.col("tile")).otherwise(F.lit(0)))
-        .select("a", F.col("other").alias("cell"), F.explode(F.sequence("first", F.col("n_tiles") - 1)).alias("tile"))
+        .select("a", (F.col("cell") < small_cell).alias("small"), F.col("other").alias("cell"), F.explode(F.sequence("first", F.col("n_tiles") - 1)).alias("tile"))
     )
-    pairs = asked.join(tiles.select("cell", "tile", F.col("members").alias("b")), ["cell", "tile"]).select("a", "b")
+    pairs = asked.join(tiles.select("cell", "tile", F.col("members").alias("b")), ["cell", "tile"]).select("a", "b", "small")
 
     def compare(batches):
         for batch in batches:
@@ -310,10 +408,11 @@ def similar_documents(
                     members = batch.column(name)[i].values
                     ids.append(members.field("doc_id").to_numpy())
                     fps.append(np.frombuffer(b"".join(members.field("fps").to_pylist()), np.uint64).reshape(-1, lanes))
-                left, right = _wide_links(*fps, radius, first_radius)
+                left, right = _wide_links(*fps, *radii[batch.column("small")[i].as_py()])
                 u, v = ids[0][left], ids[1][right]
                 yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
 
-    return components(pairs.mapInArrow(compare, "u long, v long")).select(
+    groups = components(pairs.mapInArrow(compare, "u long, v long")).select(F.col("vertex").alias("doc_id"), "root")
+    return components(_confirmed(rows, groups, similarity, shingle_words, group_tile)).select(
         F.col("vertex").alias("doc_id"), F.col("root").alias("component_id")
     )

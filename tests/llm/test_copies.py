@@ -132,6 +132,28 @@ def test_near_copies_are_found_even_if_one_repeats_itself(frame):
     assert found == {2: 2, 5: 2, 9: 2}
 
 
+def test_near_copies_are_those_of_exact_jaccard(frame):
+    rng = random.Random(7)
+    rows = []
+    for g in range(120):  # chains of texts, each a little further from the one before, and small sets
+        words = [f"g{g}w{k}" for k in range(rng.choice([8, 9, 12, 60, 200]))]
+        for step in range(6):
+            rows.append((len(rows), " ".join(words)))
+            words = words.copy()
+            for _ in range(max(1, len(words) // rng.choice([30, 45, 80]))):
+                words[rng.choice([-1, rng.randrange(len(words))])] = f"n{rng.random()}"
+    rows += [(5000 + i, " ".join(f"h{k}" if k != i else f"x{i}" for k in range(200))) for i in range(60)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    of = linked(sets, lambda a, b: len(a & b) / len(a | b) >= 0.8)
+    groups = defaultdict(list)
+    for (i, _), r in zip(rows, of):
+        groups[r].append(i)
+    wanted = {i: min(g) for g in groups.values() if len(g) > 1 for i in g}
+    for tiles in ({}, {"tile": 64, "group_tile": 7}):
+        found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(frame(rows), **tiles).collect()}
+        assert found == wanted
+
+
 def removed_bytes(rows, width):
     raw = [(i, (t or "").encode()) for i, t in rows]
     first = {}

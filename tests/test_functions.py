@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from martloom.functions import dates, flags, numbers, text

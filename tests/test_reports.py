@@ -2,7 +2,7 @@ from datetime import date, timedelta
 from itertools import combinations
 
 import pytest
-from conftest import make_star, rows
+from helpers import make_star, rows
 from pyspark.sql import functions as F
 
 from martloom.operators import profile, quality

@@ -5,7 +5,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import make_star, rows
+from helpers import make_star, rows
 from pyspark.sql import functions as F
 
 from harness.tables import tables

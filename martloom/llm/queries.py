@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontam, exact, language, packing, pii, quality, shards, simhash, substring, suffix
+from martloom.llm import bpe, decontam, exact, language, packing, pii, quality, repair, shards, simhash, substring, suffix, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, sizes = trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.with_lent_starts(turns, sizes), sizes.select("conv_id"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -32,6 +33,11 @@ _GEAR = np.random.default_rng(13).integers(0, 1 << 64, 256, np.uint64)
 _FIRST = np.uint32(1 << 31)  # marks the first id of a word
 _IDS = np.uint32((1 << 31) - 1)
 _BATCH = 1 << 20
+_LONG = 400  # characters; longer words and runs of white space go to the tokenizer itself
+# Where kinds of characters are the same in every version of Unicode, and no special token can begin.
+_NOT_PLAIN = re.compile(rf"[^\x00-\u024f]|<\||\s{{{_LONG}}}")
+# Fixed value: the words of the byte-level pattern.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BUCKET = 1 << 15  # bits in a row of Spark's bitmap aggregate
 
 
@@ -107,6 +113,52 @@ class Codec:
         for i, content in special.items():
             self.text_of[i] = content
         self.size_of = np.array([len(t) for t in self.text_of])
+        self.quick = self._quick_engine(shape)
+
+    def _quick_engine(self, shape: dict):
+        """A quicker engine over the same vocabulary, or None where it might merge otherwise.
+
+        It merges neighbours whose joined text has the least id, whatever pair made that token. That is the same
+        if ids follow the order of merges and every token's own text is merged to it: between two boundaries
+        that hold, merges are those of the text between them, and they end in the pair that made the token.
+        """
+        import tiktoken
+
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in shape["model"]["merges"]]
+        vocabulary, alone = shape["model"]["vocab"], len(shape["model"]["vocab"]) - len(merges)
+        in_order = all(vocabulary.get(a + b) == alone + i for i, (a, b) in enumerate(merges))
+        special = all(t["content"].startswith("<|") for t in shape["added_tokens"])
+        if not (in_order and special and shape["pre_tokenizer"].get("use_regex", True)) or shape["model"].get("dropout"):
+            return None
+        place = {pair: i for i, pair in enumerate(merges)}
+        texts = []
+        for token, i in vocabulary.items():
+            try:
+                texts.append((i, self.text_of[i].decode()))
+            except UnicodeDecodeError:  # a part of a character: no text that the tokenizer could be given
+                parts = list(token)
+                while len(parts) > 1:
+                    at = min(range(len(parts) - 1), key=lambda k: place.get((parts[k], parts[k + 1]), len(merges)))
+                    if (parts[at], parts[at + 1]) not in place:
+                        return None
+                    parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        found = self.tokenizer.encode_batch_fast([t for _, t in texts], add_special_tokens=False)
+        if any(one.ids != [i] for (i, _), one in zip(texts, found)):
+            return None
+        ranks = {self.text_of[i]: i for i in vocabulary.values()}
+        return tiktoken.Encoding("quick", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of whole texts, without marks."""
+        spoken = [t.decode() for t in texts]
+        plain = [
+            self.quick is not None and not _NOT_PLAIN.search(t) and max(map(len, t.split()), default=0) < _LONG
+            for t in spoken
+        ]
+        others = iter(
+            self.tokenizer.encode_batch_fast([t for t, p in zip(spoken, plain) if not p], add_special_tokens=False)
+        )
+        return [np.array(self.quick.encode_ordinary(t) if p else next(others).ids, np.uint32) for t, p in zip(spoken, plain)]
 
     def records(self, texts: list[bytes]) -> list[np.ndarray]:
         found = []
@@ -116,10 +168,6 @@ class Codec:
             found.append(ids)
         return found
 
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(one.ids, np.uint32) for one in found]
-
     def decode(self, record: np.ndarray) -> bytes:
         return b"".join(map(self.text_of.__getitem__, (record & _IDS).tolist()))
 

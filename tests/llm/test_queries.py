@@ -24,6 +24,11 @@ COLUMNS = {
     "op8_quality_rules": "doc_id held_out score predicted",
     "op9_string_tiling": "doc_id item_id coverage contaminated",
     "op10_simhash": "doc_id fingerprint component_id",
+    "op13_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+}
+OF_CONVERSATIONS = {
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_structure_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }
 
 
@@ -50,7 +55,12 @@ def test_one_row_per_document_and_the_agreed_columns(name, result, docs):
     assert list(rows[0].asDict()) == COLUMNS[name].split()
     ids = Counter(r["doc_id"] for r in rows)
     assert set(ids) == set(docs) and (name.startswith("op6") or set(ids.values()) == {1})
-    assert set(queries.queries()) == set(COLUMNS)
+    assert set(queries.queries()) == {*COLUMNS, *OF_CONVERSATIONS}
+
+
+@pytest.mark.parametrize("name", OF_CONVERSATIONS)
+def test_columns_of_conversation_queries(spark, name):
+    assert queries.queries()[name](spark, GIVEN).columns == OF_CONVERSATIONS[name].split()
 
 
 @pytest.mark.parametrize("name", sorted(oracle.statements()))

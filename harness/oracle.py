@@ -256,11 +256,48 @@ SELECT * EXCLUDE (place) FROM (
   FROM (SELECT *, '2026-07-07' AS source_batch_date FROM silver
         UNION ALL SELECT *, '2026-07-08' FROM silver2) AS both_batches) AS ranked
 WHERE place = 1"""
-_PARTS["c_customer"] = _numbered("Customer_Key", "Customer_Name, Customer_Category", "current")
-_PARTS["c_store"] = _numbered("Store_Key", "City, Store_Type", "current")
-_PARTS["c_promotion"] = _numbered("Promotion_Key", "Promotion, Discount_Applied", "current")
 _PARTS["c_mentions"] = "SELECT Transaction_ID, unnest(Product_Array) AS Product_Name FROM current"
-_PARTS["c_product"] = _numbered("Product_Key", "Product_Name", "c_mentions")
+
+
+def _register(key: str, columns: str, first: str, then: str) -> str:
+    """Members of the first load numbered from 1, those that only the second has numbered after them."""
+    order = ", ".join(f"{c.strip()} NULLS FIRST" for c in columns.split(","))
+    numbered = f"CAST(row_number() OVER (ORDER BY {order}) AS INT)"
+    return f"""
+SELECT {numbered} AS {key}, {columns} FROM (SELECT DISTINCT {columns} FROM {first})
+UNION ALL
+SELECT CAST({numbered} + (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {first})) AS INT), {columns}
+FROM (SELECT {columns} FROM {then} EXCEPT SELECT {columns} FROM {first})"""
+
+
+_PARTS["c_customer"] = _register("Customer_Key", "Customer_Name, Customer_Category", "silver", "current")
+_PARTS["c_store"] = _register("Store_Key", "City, Store_Type", "silver", "current")
+_PARTS["c_promotion"] = _register("Promotion_Key", "Promotion, Discount_Applied", "silver", "current")
+_PARTS["c_product"] = _register("Product_Key", "Product_Name", "mentions", "c_mentions")
+_PARTS["c_calendar"] = re.sub(r"\bFROM silver\b", "FROM current", _PARTS["g_calendar"])
+
+# The warehouse over both batches.
+_PARTS["lake_FactSales"] = f"""
+SELECT CAST(s.Transaction_ID AS BIGINT) AS Transaction_ID, {_DAY_KEY} AS Date_Key, c.Customer_Key, t.Store_Key,
+       coalesce(p.Promotion_Key, -1) AS Promotion_Key, s.Total_Items, s.Total_Cost
+FROM current s
+JOIN c_customer c ON s.Customer_Name = c.Customer_Name AND s.Customer_Category = c.Customer_Category
+JOIN c_store t ON s.City = t.City AND s.Store_Type = t.Store_Type
+LEFT JOIN c_promotion p ON s.Promotion = p.Promotion AND s.Discount_Applied = p.Discount_Applied"""
+_PARTS["lake_FactProductBridge"] = """
+SELECT CAST(m.Transaction_ID AS BIGINT) AS Transaction_ID, p.Product_Key
+FROM c_mentions m JOIN c_product p ON m.Product_Name = p.Product_Name"""
+_PARTS["lake_DimCustomer"] = "SELECT * FROM c_customer"
+_PARTS["lake_DimStore"] = "SELECT * FROM c_store"
+_PARTS["lake_DimProduct"] = "SELECT Product_Key, lower(Product_Name) AS Product_Name FROM c_product"
+_PARTS["lake_DimPromotion"] = """
+SELECT Promotion_Key, coalesce(Promotion, 'No Promotion') AS Promotion,
+       coalesce(Discount_Applied, false) AS Discount_Applied FROM c_promotion"""
+_PARTS["lake_DimDate"] = "SELECT * FROM c_calendar"
+
+
+def _of_lake(sql: str) -> str:
+    return re.sub(r"\b(Fact(?:Sales|ProductBridge)|Dim(?:Customer|Store|Product|Promotion|Date))\b", r"lake_\1", sql)
 
 
 def _with(body: str) -> str:
@@ -455,16 +492,21 @@ for _flavour, _tables in _LOADED.items():
 
 # --- the daily load over two batches -----------------------------------------------------------
 
-_SQL["d1_daily_fact"] = f"""
-SELECT CAST(s.Transaction_ID AS BIGINT) AS Transaction_ID, {_DAY_KEY} AS Date_Key, c.Customer_Key, t.Store_Key,
-       coalesce(p.Promotion_Key, -1) AS Promotion_Key, s.Total_Items, s.Total_Cost
-FROM current s
-JOIN c_customer c ON s.Customer_Name = c.Customer_Name AND s.Customer_Category = c.Customer_Category
-JOIN c_store t ON s.City = t.City AND s.Store_Type = t.Store_Type
-LEFT JOIN c_promotion p ON s.Promotion = p.Promotion AND s.Discount_Applied = p.Discount_Applied"""
-_SQL["d1_daily_bridge"] = """
-SELECT CAST(m.Transaction_ID AS BIGINT) AS Transaction_ID, p.Product_Key
-FROM c_mentions m JOIN c_product p ON m.Product_Name = p.Product_Name"""
+_SQL["d1_daily_fact"] = "SELECT * FROM lake_FactSales"
+_SQL["d1_daily_bridge"] = "SELECT * FROM lake_FactProductBridge"
+for _table, _part in (
+    ("DimCustomer", "c_customer"), ("DimProduct", "c_product"), ("DimPromotion", "c_promotion"), ("DimStore", "c_store")
+):
+    _SQL[f"k1_register_{_table}"] = f"SELECT * FROM {_part}"
+_SQL["g3_daily_calendar"] = "SELECT * FROM c_calendar"
+_SQL["s10_one_month"] = f"""
+SELECT Full_Date, Season, {_cash('Total_Cost')} AS Revenue FROM lake_FactSales JOIN lake_DimDate USING (Date_Key)
+WHERE Year = 1995 AND Month = 3 GROUP BY Full_Date, Season"""
+_SQL["p2_sketched_describe"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS value_count, round(avg(CAST({c} AS DOUBLE)), 2) AS mean_value, "
+    f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM current"
+    for c in ("Total_Items", "Total_Cost")
+)
 _SQL["d2_current_transactions"] = f"SELECT * {_AS_TEXT} FROM current"
 _SQL["d3_silver_rejects"] = "\nUNION ALL ".join(
     f"SELECT *, '{day}' AS source_batch_date FROM ("
@@ -742,5 +784,13 @@ SELECT Full_Date, Year, Quarter, Month_Name, Season, {_CASH} AS Daily_Revenue,
 FROM DimDate LEFT JOIN FactSales USING (Date_Key) GROUP BY ALL"""
 
 
+# The same reports over the warehouse of the lake, and profiles over all that is current there.
+_KEPT = re.compile(r"(e([5-9]|1[0-8]|2[1-5])|a\d|w[2-6])_")
+for _name in [n for n in _SQL if _KEPT.match(n)]:
+    _SQL[f"{_name}_kept"] = _of_lake(_SQL[_name])
+for _name in ("p5_distinct_counts", "p6_value_distribution"):
+    _SQL[_name.replace("_", "_sketched_", 1)] = re.sub(r"\bFROM silver\b", "FROM current", _SQL[_name])
+
+
 def statements() -> dict[str, str]:
     return {name: _with(body) for name, body in _SQL.items()}

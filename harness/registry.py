@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from harness.tables import BATCH_DATE, LATER_DATE, Tables, tables
 from martloom import schemas
-from martloom.operators import gold, profile, quality, silver, warehouse
+from martloom.operators import gold, profile, quality, silver, sketches, warehouse
 from martloom.operators.keys import with_dense_key
-from martloom.plans import baskets, customers, sales, views
+from martloom.plans import baskets, customers, daily, sales, views
+from martloom.plans.star import Star
 from martloom.sources import readers, writers
 from martloom.sources.staging import new_folder
 
@@ -99,13 +100,13 @@ query("s10_warehouse_text_rejects")(lambda t: _reasons(t.warehouse_text[1]))
 
 # --- the daily load over two batches ------------------------------------------------------------
 
-query("d1_daily_fact")(lambda t: t.spark.read.parquet(f"{t.lake.warehouse}/FactSales"))
-query("d1_daily_bridge")(lambda t: t.spark.read.parquet(f"{t.lake.warehouse}/FactProductBridge"))
+query("d1_daily_fact")(lambda t: t.lake_star.FactSales)
+query("d1_daily_bridge")(lambda t: t.lake_star.FactProductBridge)
 
 
 @query("d2_current_transactions")
 def _(t: Tables) -> DataFrame:
-    return _as_text(t.spark.read.parquet(t.lake.current))
+    return _as_text(daily.current_rows(t.spark, t.lake).drop("bucket"))
 
 
 @query("d3_silver_rejects")
@@ -114,6 +115,27 @@ def _(t: Tables) -> DataFrame:
     return stored.select("Transaction_ID", "source_batch_date", F.concat_ws(",", "faults").alias("faults"))
 
 
+for _name in ("DimCustomer", "DimProduct", "DimPromotion", "DimStore"):
+    query(f"k1_register_{_name}")(lambda t, n=_name: t.spark.read.parquet(f"{t.lake.gold}/{n}"))
+query("g3_daily_calendar")(lambda t: t.lake_star.DimDate)
+
+
+@query("s10_one_month")
+def _(t: Tables) -> DataFrame:
+    """Days of one month, from the one folder of the fact that holds them."""
+    return sales.revenue_in(t.lake_star, (F.col("Year") == 1995) & (F.col("Month") == 3), "Full_Date", "Season")
+
+
+@query("p2_sketched_describe")
+def _(t: Tables) -> DataFrame:
+    found = sketches.summary(daily.profile_parts(t.spark, t.lake))
+    return found.select("column_name", "value_count", F.round("mean_value", 2).alias("mean_value"), "min_value", "max_value")
+
+
+query("p5_sketched_distinct_counts")(lambda t: sketches.distinct_counts(daily.profile_parts(t.spark, t.lake)))
+query("p6_sketched_value_distribution")(lambda t: sketches.value_distribution(daily.profile_parts(t.spark, t.lake)))
+
+
 # --- silver ------------------------------------------------------------------------------------
 
 
@@ -286,45 +308,55 @@ query("p13_extreme_costs")(lambda t: profile.extreme_costs(t.silver))
 
 # --- reports -----------------------------------------------------------------------------------
 
+def report(name: str):
+    """A report on the given star, and the same on the lake from the tables that the daily load keeps."""
+
+    def keep(build: Callable[[Star], DataFrame]):
+        query(name)(lambda t: build(t.star))
+        query(f"{name}_kept")(lambda t: build(t.lake_star))
+
+    return keep
+
+
 query("e1_total_revenue")(lambda t: sales.total_revenue(t.star))
 query("e2_total_transactions")(lambda t: sales.total_transactions(t.star))
 query("e3_average_order_value")(lambda t: sales.average_order_value(t.star))
 query("e4_average_basket_size")(lambda t: sales.average_basket_size(t.star))
-query("e5_revenue_by_year")(lambda t: sales.revenue_by_period(t.star, "Year"))
-query("e6_revenue_by_quarter")(lambda t: sales.revenue_by_period(t.star, "Year", "Quarter"))
-query("e7_revenue_by_month")(lambda t: sales.revenue_by_month(t.star))
-query("e8_revenue_by_season")(lambda t: sales.revenue_ranking(t.star, "Season"))
-query("e9_revenue_by_category")(lambda t: sales.revenue_ranking(t.star, "Customer_Category"))
-query("e10_top_customers")(lambda t: sales.top_customers(t.star))
-query("e11_segment_contribution")(lambda t: sales.segment_contribution(t.star))
-query("e12_revenue_by_city")(lambda t: sales.revenue_ranking(t.star, "City"))
-query("e13_revenue_by_store_type")(lambda t: sales.revenue_ranking(t.star, "Store_Type"))
-query("e14_top_cities")(lambda t: sales.top_cities(t.star))
-query("e15_top_store_types")(lambda t: sales.top_store_types(t.star))
-query("e16_revenue_by_promotion")(lambda t: sales.revenue_ranking(t.star, "Promotion"))
-query("e17_items_per_promotion")(lambda t: sales.items_per_promotion(t.star))
-query("e18_discount_impact")(lambda t: sales.discount_impact(t.star))
+report("e5_revenue_by_year")(lambda s: sales.revenue_by_period(s, "Year"))
+report("e6_revenue_by_quarter")(lambda s: sales.revenue_by_period(s, "Year", "Quarter"))
+report("e7_revenue_by_month")(lambda s: sales.revenue_by_month(s))
+report("e8_revenue_by_season")(lambda s: sales.revenue_ranking(s, "Season"))
+report("e9_revenue_by_category")(lambda s: sales.revenue_ranking(s, "Customer_Category"))
+report("e10_top_customers")(lambda s: sales.top_customers(s))
+report("e11_segment_contribution")(lambda s: sales.segment_contribution(s))
+report("e12_revenue_by_city")(lambda s: sales.revenue_ranking(s, "City"))
+report("e13_revenue_by_store_type")(lambda s: sales.revenue_ranking(s, "Store_Type"))
+report("e14_top_cities")(lambda s: sales.top_cities(s))
+report("e15_top_store_types")(lambda s: sales.top_store_types(s))
+report("e16_revenue_by_promotion")(lambda s: sales.revenue_ranking(s, "Promotion"))
+report("e17_items_per_promotion")(lambda s: sales.items_per_promotion(s))
+report("e18_discount_impact")(lambda s: sales.discount_impact(s))
 query("e19_best_sellers")(lambda t: sales.best_sellers(t.star))
 query("e20_slow_sellers")(lambda t: sales.slow_sellers(t.star))
-query("e21_products_by_category")(lambda t: sales.products_by_category(t.star))
-query("e22_product_revenue")(lambda t: sales.product_revenue(t.star))
-query("e23_products_by_season")(lambda t: sales.products_by_season(t.star))
-query("e24_month_over_month")(lambda t: sales.month_over_month(t.star))
-query("e25_customer_value")(lambda t: sales.customer_value(t.star))
+report("e21_products_by_category")(lambda s: sales.products_by_category(s))
+report("e22_product_revenue")(lambda s: sales.product_revenue(s))
+report("e23_products_by_season")(lambda s: sales.products_by_season(s))
+report("e24_month_over_month")(lambda s: sales.month_over_month(s))
+report("e25_customer_value")(lambda s: sales.customer_value(s))
 query("f8_headline_texts")(lambda t: sales.headline_texts(t.star))
 
-query("a1_retention")(lambda t: customers.retention(t.star))
-query("a2_days_between_orders")(lambda t: customers.days_between_orders(t.star))
-query("a3_average_lifespan")(lambda t: customers.average_lifespan(t.star))
-query("a4_product_pairs")(lambda t: baskets.product_pairs(t.star))
-query("a5_segments_by_season")(lambda t: customers.segments_by_season(t.star))
+report("a1_retention")(lambda s: customers.retention(s))
+report("a2_days_between_orders")(lambda s: customers.days_between_orders(s))
+report("a3_average_lifespan")(lambda s: customers.average_lifespan(s))
+report("a4_product_pairs")(lambda s: baskets.product_pairs(s))
+report("a5_segments_by_season")(lambda s: customers.segments_by_season(s))
 
 query("w1_sales_overview")(lambda t: views.sales_overview(t.star))
-query("w2_customer_analysis")(lambda t: views.customer_analysis(t.star))
-query("w3_product_performance")(lambda t: views.product_performance(t.star))
-query("w4_promotion_analysis")(lambda t: views.promotion_analysis(t.star))
-query("w5_store_performance")(lambda t: views.store_performance(t.star))
-query("w6_time_analysis")(lambda t: views.time_analysis(t.star))
+report("w2_customer_analysis")(lambda s: views.customer_analysis(s))
+report("w3_product_performance")(lambda s: views.product_performance(s))
+report("w4_promotion_analysis")(lambda s: views.promotion_analysis(s))
+report("w5_store_performance")(lambda s: views.store_performance(s))
+report("w6_time_analysis")(lambda s: views.time_analysis(s))
 
 
 def _bind(build: Callable[[Tables], DataFrame]) -> Query:

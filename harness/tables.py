@@ -24,6 +24,7 @@ from martloom.sources.staging import new_folder, stage
 
 BATCH_DATE = "2026-07-07"
 LATER_DATE = "2026-07-08"
+SPAN = 1 << 17  # transaction ids in a bucket of the lake
 
 # Names used by the mapping from the given tables.
 STORE_TYPES = {"P": "pop-up stand", "F": "flagship store", "O": "online shop"}
@@ -289,8 +290,13 @@ class Tables:
             ([self.later_landing], LATER_DATE),
             ([self.landing["csv"]], BATCH_DATE),
         ):
-            daily.run_daily(self.spark, root, paths, day)
-        return daily.Layers(root)
+            daily.run_daily(self.spark, root, paths, day, span=SPAN)
+        return daily.Layers(root, SPAN)
+
+    @cached_property
+    def lake_star(self) -> Star:
+        """The warehouse of the lake, with all that the daily load keeps beside it."""
+        return Star.stored(self.spark, self.lake.warehouse)
 
     def raw(self) -> DataFrame:
         return readers.load_daily_batch(self.spark, [self.landing["csv"]])
@@ -320,15 +326,15 @@ class Tables:
 
     @cached_property
     def staging_root(self) -> str:
-        """The gold tables as CSV files, product names with their list marks left on."""
+        """The gold tables as CSV files of one record a line, product names with their list marks left on."""
         root = new_folder(self.spark, "staging")
         verbatim = silver.add_products(self.silver, verbatim=True)
         products = partial(gold.product_dimension, verbatim)
-        writers.write_gold({**self.gold, "DimProduct": products}, root, "csv")
+        writers.write_gold({**self.gold, "DimProduct": products}, root, "csv", one_line=True)
         return root
 
     def staged(self, table: str, typed: bool) -> DataFrame:
-        return readers.read_staging(self.spark, self.staging_root, table, typed)
+        return readers.read_staging(self.spark, self.staging_root, table, typed, one_line=True)
 
     @cached_property
     def gold_copy(self) -> str:
@@ -345,11 +351,11 @@ class Tables:
     @cached_property
     def warehouse_typed(self) -> tuple[str, DataFrame]:
         """Root of the tables loaded from typed staging, and the rows that may not be stored."""
-        return self._stored(warehouse.load_typed(self.spark, self.staging_root), "typed")
+        return self._stored(warehouse.load_typed(self.spark, self.staging_root, one_line=True), "typed")
 
     @cached_property
     def warehouse_text(self) -> tuple[str, DataFrame]:
-        return self._stored(warehouse.load_text(self.spark, self.staging_root), "text")
+        return self._stored(warehouse.load_text(self.spark, self.staging_root, one_line=True), "text")
 
     @cached_property
     def text_sales(self) -> DataFrame:

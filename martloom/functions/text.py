@@ -22,6 +22,25 @@ def category(text: Column) -> Column:
     return F.initcap(without_placeholder(F.trim(text)))
 
 
+# How a cell is written on one line. The mark itself comes first when writing and last when
+# reading, so that whatever a cell holds comes back as it was.
+_ONE_LINE = (("~", "~t"), ("\n", "~n"), ("\r", "~r"))
+
+
+def one_line(text: Column) -> Column:
+    """Text without line breaks, reversible by ``restored``."""
+    for plain, written in _ONE_LINE:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def restored(text: Column) -> Column:
+    """What ``one_line`` was given."""
+    for plain, written in reversed(_ONE_LINE):
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return text
+
+
 def strip_marks(text: Column, marks: str = LIST_MARKS) -> Column:
     return F.translate(text, marks, "")
 

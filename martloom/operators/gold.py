@@ -47,16 +47,22 @@ def timestamp_dimension(silver: DataFrame) -> DataFrame:
     return numbered.select("Date_Key", *columns)
 
 
-def calendar_dimension(silver: DataFrame) -> DataFrame:
-    """Date dimension at day grain under a YYYYMMDD key; one row per day whatever its seasons."""
+def calendar_dimension(silver: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Date dimension at day grain under a YYYYMMDD key; one row per day (and ``carried`` value) whatever its seasons."""
     day = F.to_date("Date").alias("Full_Date")
     return (
-        silver.groupBy(day)
+        silver.groupBy(day, *carried)
         .agg(*[F.max(c).alias(c) for c in [*_CALENDAR, "Season"]])
-        .select(date_key(F.col("Full_Date")).alias("Date_Key"), "Full_Date", *_CALENDAR, "Season")
+        .select(date_key(F.col("Full_Date")).alias("Date_Key"), "Full_Date", *_CALENDAR, "Season", *carried)
     )
 
 
+def merged_calendar(parts: DataFrame) -> DataFrame:
+    """The date dimension from ``calendar_dimension`` of parts of the transactions."""
+    days = parts.groupBy("Date_Key", "Full_Date").agg(*[F.max(c).alias(c) for c in [*_CALENDAR, "Season"]])
+    return days.select("Date_Key", "Full_Date", *_CALENDAR, "Season")
+
+
 def look_up(
     df: DataFrame, dim: DataFrame, columns: dict[str, str], key: str, null_safe: bool = False
 ) -> DataFrame:
@@ -80,13 +86,14 @@ def sales_fact(
     dims: dict[str, DataFrame],
     null_safe: bool = False,
     by_timestamp: bool = False,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Transaction-grain fact with four keys and two measures.
+    """Transaction-grain fact with four keys and two measures, and the ``carried`` columns.
 
     The day-grain key is computed from the date itself. ``by_timestamp`` looks it up in a
     timestamp-grain dimension instead; a moment listed under two seasons then doubles its sales.
     """
-    needed = ["Transaction_ID", "Date", "Total_Items", "Total_Cost", *sum(ATTRIBUTES.values(), [])]
+    needed = ["Transaction_ID", "Date", "Total_Items", "Total_Cost", *sum(ATTRIBUTES.values(), []), *carried]
     keyed = silver.select(needed)
     for name, columns in ATTRIBUTES.items():
         keyed = look_up(keyed, dims[name], {c: c for c in columns}, KEYS[name], null_safe)
@@ -102,14 +109,15 @@ def sales_fact(
         "Promotion_Key",
         "Total_Items",
         "Total_Cost",
+        *carried,
     )
 
 
-def product_bridge(silver: DataFrame, products: DataFrame) -> DataFrame:
+def product_bridge(silver: DataFrame, products: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per product mention in a basket; a repeated product stays repeated."""
-    mentions = silver.select("Transaction_ID", F.explode("Product_Array").alias("Product_Name"))
+    mentions = silver.select("Transaction_ID", *carried, F.explode("Product_Array").alias("Product_Name"))
     keyed = look_up(mentions, products, {"Product_Name": "Product_Name"}, "Product_Key")
-    return keyed.select("Transaction_ID", "Product_Key")
+    return keyed.select("Transaction_ID", "Product_Key", *carried)
 
 
 def dimension_builders(silver: DataFrame, by_timestamp: bool = False) -> dict[str, Callable[[], DataFrame]]:

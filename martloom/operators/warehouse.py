@@ -92,7 +92,9 @@ def load_stores(staged: DataFrame) -> DataFrame:
     )
 
 
-def remapped_sales(staged: DataFrame, staged_dates: DataFrame | None) -> DataFrame:
+def remapped_sales(
+    staged: DataFrame, staged_dates: DataFrame | None, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Priced fact rows at day grain. Without ``staged_dates`` the staged key is a day's key already."""
     sound = F.col("Transaction_ID").isNotNull() & (to_double(F.col("Total_Cost")) >= 0)
     rows = staged.filter(sound)
@@ -102,6 +104,7 @@ def remapped_sales(staged: DataFrame, staged_dates: DataFrame | None) -> DataFra
         F.coalesce("Promotion_Key", F.lit(UNKNOWN_PROMOTION)).alias("Promotion_Key"),
         "Total_Items",
         "Total_Cost",
+        *carried,
     ]
     if staged_dates is None:
         return rows.select("Transaction_ID", "Date_Key", *columns)
@@ -126,8 +129,13 @@ def split_by_required(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(sound), df.filter(~sound)
 
 
-def enforce(loaded: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Loaded tables with sound rows only, and all other rows as ``TableName, reason, row`` (JSON text)."""
+def enforce(
+    loaded: dict[str, DataFrame], carried: tuple[str, ...] = ()
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Loaded tables with sound rows only, and all other rows as ``TableName, reason, row`` (JSON text).
+
+    ``carried`` columns, null in tables without them, follow the reason and are no part of the row.
+    """
     kept, rejects = {}, []
     for table, df in loaded.items():
         kept[table], lost = split_by_required(df, table)
@@ -135,7 +143,8 @@ def enforce(loaded: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFra
             lost.select(
                 F.lit(table).alias("TableName"),
                 F.concat_ws(",", faults(table)).alias("reason"),
-                F.to_json(F.struct(*df.columns)).alias("row"),
+                F.to_json(F.struct(*[c for c in df.columns if c not in carried])).alias("row"),
+                *[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in carried],
             )
         )
     return kept, reduce(DataFrame.unionByName, rejects)
@@ -231,12 +240,21 @@ def load_typed(
     fmt: str = "csv",
     multiline: bool = True,
     by_timestamp: bool = True,
+    carried: tuple[str, ...] = (),
+    one_line: bool = False,
 ) -> dict[str, DataFrame]:
     """All seven tables from typed staging files under ``root``; :func:`enforce` splits off what may not be stored.
 
     ``by_timestamp`` tells the grain of the staged dates: moments, whose keys are looked up, or days.
+    ``carried`` names further columns of the two transaction-grain tables, staged as Parquet.
     """
-    staged = {t: read_staging(spark, root, t, typed=True, fmt=fmt, multiline=multiline) for t in schemas.TABLES}
+    staged = {
+        t: read_staging(
+            spark, root, t, typed=True, fmt=fmt, multiline=multiline, one_line=one_line,
+            carried=carried if t.startswith("Fact") else (),
+        )
+        for t in schemas.TABLES
+    }
     promotions = load_promotions(staged["DimPromotion"])
     return {
         "DimCustomer": load_customers(staged["DimCustomer"]),
@@ -244,14 +262,18 @@ def load_typed(
         "DimProduct": load_products_cleaned(staged["DimProduct"]),
         "DimPromotion": with_unknown_promotion(promotions) if unknown_promotion else promotions,
         "DimStore": load_stores(staged["DimStore"]),
-        "FactSales": remapped_sales(staged["FactSales"], staged["DimDate"] if by_timestamp else None),
+        "FactSales": remapped_sales(staged["FactSales"], staged["DimDate"] if by_timestamp else None, carried),
         "FactProductBridge": staged["FactProductBridge"],
     }
 
 
-def load_text(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
+def load_text(
+    spark: SparkSession, root: str, multiline: bool = True, one_line: bool = False
+) -> dict[str, DataFrame]:
     """All seven tables from all-text staging files under ``root``, null keys included."""
-    staged = {t: read_staging(spark, root, t, typed=False, multiline=multiline) for t in schemas.TABLES}
+    staged = {
+        t: read_staging(spark, root, t, typed=False, multiline=multiline, one_line=one_line) for t in schemas.TABLES
+    }
     return {
         "DimCustomer": load_customers_text(staged["DimCustomer"]),
         "DimDate": load_dates_text(staged["DimDate"]),

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martloom import schemas
 from martloom.functions.dates import TIMESTAMP_FORMATS
-from martloom.operators import gold, quality, silver, warehouse
+from martloom.operators import gold, quality, silver, sketches, warehouse
+from martloom.operators.buckets import BUCKET, SPAN, bucket_of, replace_buckets, write_batch_buckets
+from martloom.operators.register import grow
+from martloom.plans import kept
 from martloom.plans.star import Star
 from martloom.sources import readers, writers
+from martloom.sources.files import exists, remove
 from martloom.sources.staging import scratch, stage
 
+ALL = "all"  # the bucket of what belongs to no transaction
+
 
 @dataclass(frozen=True)
 class Layers:
-    """Folders of one data lake."""
+    """Folders of one data lake. Transactions are stored in buckets of ``span`` ids, for good."""
 
     root: str
+    span: int = SPAN
 
     @property
     def bronze(self) -> str:
@@ -28,7 +37,7 @@ class Layers:
 
     @property
     def silver(self) -> str:
-        """Clean rows by batch."""
+        """Clean rows by batch and bucket."""
         return f"{self.root}/silver/transactions"
 
     @property
@@ -38,17 +47,46 @@ class Layers:
 
     @property
     def current(self) -> str:
-        """The newest copy of every transaction over all batches."""
+        """The newest copy of every transaction over all batches, by bucket."""
         return f"{self.root}/silver/current"
 
+    @property
+    def profiles(self) -> str:
+        """Sketches of the columns of current, by bucket."""
+        return f"{self.root}/silver/profiles"
+
+    @property
+    def pending(self) -> str:
+        """Buckets that changed in silver and not yet in all that follows from it."""
+        return f"{self.root}/silver/pending"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def days(self) -> str:
+        """The calendar of each bucket."""
+        return f"{self.root}/gold/parts/DimDate"
+
     @property
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
 
+    @property
+    def settings(self) -> str:
+        return f"{self.root}/settings"
+
+
+def settle(spark: SparkSession, layers: Layers, **chosen: bool) -> None:
+    """Keep what a lake was begun with, and refuse to go on otherwise: its buckets and keys would not fit."""
+    wanted = {"span": layers.span, **chosen}
+    if not exists(spark, layers.settings):
+        spark.createDataFrame([tuple(wanted.values())], list(wanted)).write.parquet(layers.settings)
+    begun = spark.read.parquet(layers.settings).first().asDict()
+    if begun != wanted:
+        raise ValueError(f"The lake at {layers.root} was begun with {begun}, not with {wanted}")
+
 
 def ingest(spark: SparkSession, layers: Layers, paths: Iterable[str], batch_date: str, multiline: bool = True) -> None:
     """Files to the batch's bronze folder, unchanged but for the audit columns."""
@@ -61,24 +99,83 @@ def bronze_batch(spark: SparkSession, layers: Layers, batch_date: str) -> DataFr
     return stored.filter(F.col("batch_date") == F.lit(batch_date)).drop("batch_date")
 
 
+_KNOWN: dict[str, StructType] = {}
+
+
+def _known_schema(name: str, derive: Callable[[], DataFrame]) -> StructType:
+    """Columns of a layer: declared when read, as buckets may hold no file. They follow from the code alone."""
+    if name not in _KNOWN:
+        _KNOWN[name] = derive().schema
+    return _KNOWN[name]
+
+
+def _clean_schema(spark: SparkSession) -> StructType:
+    def derive() -> DataFrame:
+        nothing = readers.with_audit(spark.createDataFrame([], schemas.RAW), "")
+        return silver.shape(nothing).withColumn(BUCKET, F.lit(""))
+
+    return _known_schema("clean", derive)
+
+
+def silver_rows(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Clean rows of all batches, with ``batch_date`` and ``bucket``."""
+    dated = StructType([*_clean_schema(spark).fields, StructField("batch_date", StringType())])
+    return spark.read.schema(dated).parquet(layers.silver)
+
+
+def current_rows(spark: SparkSession, layers: Layers) -> DataFrame:
+    return spark.read.schema(_clean_schema(spark)).parquet(layers.current)
+
+
 def refine(
     spark: SparkSession, layers: Layers, batch_date: str, formats: tuple[str, ...] = TIMESTAMP_FORMATS
 ) -> dict[str, int]:
-    """Bronze batch to silver, clean and rejected rows; every row is parsed once. Returns row counts."""
+    """Bronze batch to silver, clean and rejected rows; every row is parsed once. Returns row counts.
+
+    Buckets in which the batch has rows now, or had rows before, are noted first: whatever happens to the
+    load afterwards, ``merge`` knows what to do again.
+    """
     with scratch(spark):
         marked = stage(silver.with_faults(silver.shape(bronze_batch(spark, layers, batch_date), formats)), "marked")
-        sound = F.size("faults") == 0
-        clean = silver.latest_per_transaction(marked.filter(sound).drop("faults"))
-        writers.write_batch(clean, layers.silver, batch_date)
+        sound, bucket = F.size("faults") == 0, bucket_of("Transaction_ID", layers.span)
+        buckets = marked.filter(sound).select(bucket)
+        if exists(spark, layers.silver):
+            held = silver_rows(spark, layers).filter(F.col("batch_date") == F.lit(batch_date))
+            buckets = buckets.unionByName(held.select(BUCKET))
+        buckets.distinct().write.mode("append").parquet(layers.pending)
+        clean = silver.latest_per_transaction(marked.filter(sound).drop("faults")).withColumn(BUCKET, bucket)
+        write_batch_buckets(clean, layers.silver, batch_date)
         writers.write_batch(marked.filter(~sound), layers.rejects, batch_date)
         counts = marked.agg(F.count(F.lit(1)).alias("read"), F.count_if(~sound).alias("dropped")).first()
     return counts.asDict()
 
 
-def merge(spark: SparkSession, layers: Layers) -> None:
-    """All silver batches to one table: of a transaction that comes again, the latest batch's row."""
-    batches = spark.read.parquet(layers.silver).drop("batch_date")
-    writers.write_layer(silver.latest_per_transaction(batches), layers.current)
+def pending_buckets(spark: SparkSession, layers: Layers) -> list[str]:
+    """Names of the buckets that batches have changed since the last whole load: one short text each."""
+    if not exists(spark, layers.pending):
+        return []
+    noted = spark.read.schema(f"{BUCKET} string").parquet(layers.pending)
+    return sorted(row[0] for row in noted.distinct().collect())
+
+
+def merge(spark: SparkSession, layers: Layers) -> list[str]:
+    """Changed buckets of all silver batches to current: of a transaction that comes again, the latest batch's row.
+
+    Other buckets are neither read nor written. Sketches of the changed ones follow. A transaction that no batch has any longer is gone.
+    """
+    buckets = pending_buckets(spark, layers)
+    rows = silver_rows(spark, layers).filter(F.col(BUCKET).isin(buckets)).drop("batch_date", BUCKET)
+    latest = silver.latest_per_transaction(rows).withColumn(BUCKET, bucket_of("Transaction_ID", layers.span))
+    replace_buckets(latest, layers.current, buckets)
+    changed = current_rows(spark, layers).filter(F.col(BUCKET).isin(buckets))
+    replace_buckets(sketches.sketched(changed, BUCKET), layers.profiles, buckets)
+    return buckets
+
+
+def profile_parts(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Sketches to be merged by ``operators.sketches``: profiles of current that read none of its rows."""
+    columns = _known_schema("profiles", lambda: sketches.sketched(current_rows(spark, layers), BUCKET))
+    return spark.read.schema(columns).parquet(layers.profiles).drop(BUCKET)
 
 
 def model(
@@ -87,9 +184,9 @@ def model(
     null_safe: bool = False,
     by_timestamp: bool = False,
 ) -> None:
-    """Silver to gold. Dimensions are stored first, so the fact joins them at their known size."""
+    """Silver to gold, whole. Dimensions are stored first, so the fact joins them at their known size."""
     with scratch(spark):
-        clean = spark.read.parquet(layers.current)
+        clean = current_rows(spark, layers)
         builders = gold.dimension_builders(clean, by_timestamp)
         writers.write_gold(builders, layers.gold)
         stored = {n: spark.read.parquet(f"{layers.gold}/{n}") for n in builders}
@@ -108,7 +205,7 @@ def store(
     database: str | None = None,
     by_timestamp: bool = False,
 ) -> Star:
-    """Gold to warehouse tables; rows that lack a required column or cannot be summed are set aside."""
+    """Gold to warehouse tables, whole; rows that lack a required column or cannot be summed are set aside."""
     with scratch(spark):
         loaded = warehouse.load_typed(spark, layers.gold, unknown_promotion, fmt="parquet", by_timestamp=by_timestamp)
         if by_timestamp:  # the kept and the rejected rows share one lookup
@@ -119,6 +216,77 @@ def store(
     return Star.stored(spark, layers.warehouse)
 
 
+def _registers(spark: SparkSession, layers: Layers, changed: DataFrame) -> dict[str, DataFrame]:
+    """The four keyed dimensions, grown by the members that are new in the changed rows."""
+    members = {name: (changed.select(columns), columns) for name, columns in gold.ATTRIBUTES.items()}
+    products = changed.select(F.explode("Product_Array").alias("Product_Name"))
+    members["DimProduct"] = (products, ["Product_Name"])
+
+    def run(name: str) -> DataFrame:
+        rows, columns = members[name]
+        return grow(rows, f"{layers.gold}/{name}", gold.KEYS[name], columns)
+
+    with ThreadPoolExecutor(len(members)) as pool:
+        return dict(zip(members, pool.map(run, members)))
+
+
+def extend(
+    spark: SparkSession,
+    layers: Layers,
+    buckets: list[str],
+    null_safe: bool = False,
+    unknown_promotion: bool = False,
+) -> None:
+    """Changed buckets of current to gold and warehouse, and to the tables kept for reports.
+
+    New members join the registers of the dimensions, so that all keys given out before stay; of facts and kept
+    tables the changed buckets are replaced. Only dimensions are written whole. The calendar is merged from one
+    small part per bucket, so it follows rows that go as well as rows that come.
+    """
+    here = F.col(BUCKET).isin(buckets)
+    changed = current_rows(spark, layers).filter(here)
+
+    def calendar() -> None:
+        parts = _known_schema("calendar", lambda: gold.calendar_dimension(changed, (BUCKET,)))
+        replace_buckets(gold.calendar_dimension(changed, (BUCKET,)), layers.days, buckets)
+        writers.write_layer(gold.merged_calendar(spark.read.schema(parts).parquet(layers.days)), f"{layers.gold}/DimDate")
+
+    def replace_fact(name: str, rows: DataFrame) -> None:
+        fields = schemas.WAREHOUSE[name].fields
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], BUCKET)
+        if name == "FactSales":
+            month = F.expr("Date_Key DIV 100").cast("int")
+            replace_buckets(typed.withColumn(schemas.MONTH, month), f"{layers.warehouse}/{name}", buckets, schemas.MONTH)
+        else:
+            replace_buckets(typed, f"{layers.warehouse}/{name}", buckets)
+
+    with scratch(spark), ThreadPoolExecutor(6) as pool:
+        dated = pool.submit(calendar)
+        dims = _registers(spark, layers, changed)
+        facts = {
+            "FactSales": gold.sales_fact(changed, dims, null_safe, carried=(BUCKET,)),
+            "FactProductBridge": gold.product_bridge(changed, dims["DimProduct"], (BUCKET,)),
+        }
+        writers.write_each(facts, lambda name, rows: replace_buckets(rows, f"{layers.gold}/{name}", buckets))
+        dated.result()
+        loaded = warehouse.load_typed(
+            spark, layers.gold, unknown_promotion, fmt="parquet", by_timestamp=False, carried=(BUCKET,)
+        )
+        for name in facts:
+            loaded[name] = loaded[name].filter(here)
+        sound, rejects = warehouse.enforce(loaded, (BUCKET,))
+        rejects = rejects.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(ALL)))
+        small = {n: rows for n, rows in sound.items() if n not in facts}
+        steps = [
+            pool.submit(writers.write_warehouse, small, layers.warehouse),
+            *(pool.submit(replace_fact, name, sound[name]) for name in facts),
+            pool.submit(replace_buckets, rejects, f"{layers.warehouse}_rejects", [*buckets, ALL], "TableName"),
+        ]
+        for step in steps:
+            step.result()  # raises what failed
+        kept.replace(spark, layers.warehouse, buckets)
+
+
 def run_daily(
     spark: SparkSession,
     root: str,
@@ -128,20 +296,31 @@ def run_daily(
     unknown_promotion: bool = False,
     multiline: bool = True,
     by_timestamp: bool = False,
+    span: int = SPAN,
 ) -> tuple[Star, dict[str, int]]:
     """One batch from files to a warehouse over all batches so far; the star and row counts of every layer.
 
-    The date dimension has a row per day. With ``by_timestamp`` it has one per moment and season, and a
-    moment under two seasons doubles its sales.
+    The work follows the batch, not the history: only buckets of transactions that the batch has, or had the
+    last time, are merged, modelled and loaded again. A load that broke off is made up for by the next one.
+
+    The date dimension has a row per day. With ``by_timestamp`` it has one per moment and season, a moment
+    under two seasons doubles its sales, and gold and warehouse are built anew from all of current.
     """
-    layers = Layers(root)
+    layers = Layers(root, span)
+    settle(spark, layers, null_safe=null_safe, unknown_promotion=unknown_promotion, by_timestamp=by_timestamp)
     ingest(spark, layers, paths, batch_date, multiline)
     counts = refine(spark, layers, batch_date)
-    merge(spark, layers)
-    model(spark, layers, null_safe, by_timestamp)
-    star = store(spark, layers, unknown_promotion, by_timestamp=by_timestamp)
-    stored = {"Silver": spark.read.parquet(layers.current)}
-    stored |= {n: spark.read.parquet(f"{layers.gold}/{n}") for n in schemas.TABLES}
+    buckets = merge(spark, layers)
+    if by_timestamp:
+        model(spark, layers, null_safe, by_timestamp)
+        star = store(spark, layers, unknown_promotion, by_timestamp=by_timestamp)
+    else:
+        extend(spark, layers, buckets, null_safe, unknown_promotion)
+        star = Star.stored(spark, layers.warehouse)
+    remove(spark, layers.pending)
+    stored = {"Silver": current_rows(spark, layers)}
+    stored |= {n: spark.read.parquet(f"{layers.gold}/{n}") for n in schemas.TABLES if not n.startswith("Fact")}
+    stored |= {n: spark.read.schema(columns).parquet(f"{layers.gold}/{n}") for n, columns in schemas.GOLD_FACTS.items()}
     # One row per table.
     counts |= {r["TableName"]: r["RowsCount"] for r in quality.row_counts(stored).collect()}
     return star, counts

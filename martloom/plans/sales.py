@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martloom.functions.numbers import display, mean_money, money, ratio
 from martloom.operators.gold import KEYS
 from martloom.plans.star import Star, figures, roll_up, sales_by, sums
+from martloom.schemas import MONTH
 
 def _revenue() -> Column:
     return money(F.col("amount"))
@@ -73,6 +74,22 @@ def revenue_by_month(star: Star) -> DataFrame:
     return months.select("Year", "Month_Name", "Revenue")
 
 
+def revenue_in(star: Star, period: Column, *attributes: str) -> DataFrame:
+    """Revenue within a period, a condition on columns of DimDate, in the order of the attributes.
+
+    Of a fact that is stored by month only months with a day of the period are read: the days meet the fact
+    by month as well, so Spark prunes folders as soon as it knows the days.
+    """
+    days = star.DimDate.filter(period).select("Date_Key")
+    if star.SalesByMonth is None:
+        sold = star.FactSales.join(days, "Date_Key", "left_semi")
+    else:
+        by_month = days.withColumn(MONTH, F.expr("Date_Key DIV 100").cast("int"))
+        sold = star.SalesByMonth.join(by_month, [MONTH, "Date_Key"], "left_semi")
+    grouped = roll_up(star, sold, attributes, figures())
+    return grouped.select(*attributes, _revenue().alias("Revenue")).orderBy(*attributes)
+
+
 def revenue_ranking(star: Star, attribute: str) -> DataFrame:
     return _ranked(revenue_by(star, attribute), "Revenue", attribute)
 
@@ -168,6 +185,23 @@ def slow_sellers(star: Star, n: int = 10) -> DataFrame:
     return _ranked(product_counts(star), "Times_Sold", "Product_Name", ascending=True).limit(n)
 
 
+def _lines_by(star: Star, key: str) -> DataFrame:
+    """Lines per key of their sale and product from kept baskets: a sale and its lines are one row there."""
+    sold = star.Baskets.select(F.explode("Sales").alias("sale"), "Lines")
+    lines = sold.select(F.col(f"sale.{key}").alias(key), F.col("sale.n").alias("times"), F.explode("Lines").alias("line"))
+    return lines.groupBy(key, F.col("line.Product_Key").alias("Product_Key")).agg(
+        F.sum(F.col("times") * F.col("line.n")).alias("lines")
+    )
+
+
+def _purchases(star: Star, dim: str, attribute: str, name: str) -> DataFrame:
+    """Bridge rows per product name and attribute of their sale."""
+    if star.Baskets is None:
+        return roll_up(star, _mentions_with(star, dim, attribute), ["Product_Name"], {name: F.count("Transaction_ID")}, [attribute])
+    lines = _lines_by(star, KEYS[dim])
+    return roll_up(star, lines, ["Product_Name", attribute], {name: F.sum("lines")})
+
+
 def _mentions_with(star: Star, dim: str, attribute: str) -> DataFrame:
     """Bridge rows with an attribute of their sale, looked up before the sale meets its bridge rows.
 
@@ -182,16 +216,13 @@ def _mentions_with(star: Star, dim: str, attribute: str) -> DataFrame:
 
 def products_by_category(star: Star) -> DataFrame:
     """Purchases per product and customer category."""
-    mentions = _mentions_with(star, "DimCustomer", "Customer_Category")
-    counted = {"Purchases": F.count("Transaction_ID")}
-    return roll_up(star, mentions, ["Product_Name"], counted, ["Customer_Category"])
+    counted = _purchases(star, "DimCustomer", "Customer_Category", "Purchases")
+    return counted.select("Customer_Category", "Product_Name", "Purchases")
 
 
 def products_by_season(star: Star) -> DataFrame:
     """Units per season and product."""
-    mentions = _mentions_with(star, "DimDate", "Season")
-    counted = {"Units_Sold": F.count("Transaction_ID")}
-    units = roll_up(star, mentions, ["Product_Name"], counted, ["Season"])
+    units = _purchases(star, "DimDate", "Season", "Units_Sold").select("Season", "Product_Name", "Units_Sold")
     return units.orderBy("Season", F.desc("Units_Sold"), "Product_Name")
 
 
@@ -201,20 +232,42 @@ def product_revenue(star: Star) -> DataFrame:
     Bridge rows are first counted per transaction and product, so a transaction holding a large part
     of all rows enters the joins with no more rows than there are products.
     """
+    if star.Baskets is not None:
+        return _ranked(_basket_revenue(star), "Estimated_Revenue", "Product_Name")
     # The explicit filter keeps both uses of `lines` alike, so Spark shuffles it once.
     keyed = star.FactProductBridge.filter("Transaction_ID IS NOT NULL AND Product_Key IS NOT NULL")
     lines = keyed.groupBy("Transaction_ID", "Product_Key").agg(F.count(F.lit(1)).alias("n"))
     sizes = lines.groupBy("Transaction_ID").agg(F.sum("n").alias("size"))
-    # Ten decimals hold a share exactly enough that row order cannot show in the sum.
-    share = F.try_divide(F.col("Total_Cost"), F.col("size").cast("double")).try_cast("decimal(28,10)")
     shares = (
         star.FactSales.select("Transaction_ID", "Total_Cost")
         .join(sizes, "Transaction_ID")
-        .select("Transaction_ID", share.alias("share"))
+        .select("Transaction_ID", _share(F.col("Total_Cost"), F.col("size")).alias("share"))
     )
     mentions = lines.join(shares, "Transaction_ID")
-    earned = {"earned": F.sum(F.col("share") * F.col("n").cast("decimal(10,0)"))}
-    revenue = roll_up(star, mentions, ["Product_Name"], earned).select(
+    return _ranked(_earned(star, mentions, F.col("n")), "Estimated_Revenue", "Product_Name")
+
+
+def _share(cost: Column, size: Column) -> Column:
+    """Ten decimals hold a share exactly enough that row order cannot show in the sum."""
+    return F.try_divide(cost, size.cast("double")).try_cast("decimal(28,10)")
+
+
+def _earned(star: Star, mentions: DataFrame, lines: Column) -> DataFrame:
+    earned = {"earned": F.sum(F.col("share") * lines.cast("decimal(10,0)"))}
+    return roll_up(star, mentions, ["Product_Name"], earned).select(
         "Product_Name", F.round(F.col("earned").cast("double"), 2).alias("Estimated_Revenue")
     )
-    return _ranked(revenue, "Estimated_Revenue", "Product_Name")
+
+
+def _basket_revenue(star: Star) -> DataFrame:
+    """The same from kept baskets: no row meets another by transaction."""
+    known = F.filter("Lines", lambda line: line["Product_Key"].isNotNull())
+    size = F.aggregate("Lines", F.lit(0).cast("long"), lambda total, line: total + line["n"])
+    sold = (
+        star.Baskets.withColumn("Lines", known)
+        .withColumn("size", size)
+        .select(F.explode("Sales").alias("sale"), "Lines", "size")
+        .select(_share(F.col("sale.Total_Cost"), F.col("size")).alias("share"), "sale.n", F.explode("Lines").alias("line"))
+    )
+    mentions = sold.select("share", F.col("line.Product_Key").alias("Product_Key"), (F.col("n") * F.col("line.n")).alias("lines"))
+    return _earned(star, mentions, F.col("lines"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +12,15 @@ from martloom import schemas
 from martloom.functions.numbers import exact
 from martloom.operators.gold import KEYS
 from martloom.plans.sizes import broadcast_by_size
+from martloom.sources.files import exists
 
 
 @dataclass(frozen=True)
 class Star:
-    """The seven warehouse tables."""
+    """The seven warehouse tables, and what a daily load keeps beside them.
+
+    Reports read the kept tables where a star has them and give the same rows either way.
+    """
 
     DimCustomer: DataFrame
     DimDate: DataFrame
@@ -25,16 +29,35 @@ class Star:
     DimStore: DataFrame
     FactSales: DataFrame
     FactProductBridge: DataFrame
+    SalesByMonth: DataFrame | None = None
+    DailySums: DataFrame | None = None
+    CustomerParts: DataFrame | None = None
+    Baskets: DataFrame | None = None
 
     @classmethod
     def stored(cls, spark: SparkSession, root: str) -> Star:
-        """Star over Parquet tables written by ``write_warehouse`` or ``write_gold``."""
-        return cls(**{t: spark.read.parquet(f"{root}/{t}") for t in schemas.TABLES})
+        """Star over Parquet tables written by ``write_warehouse``, ``write_gold`` or the daily load."""
+        tables = {t: spark.read.parquet(f"{root}/{t}") for t in schemas.TABLES if not t.startswith("Fact")}
+        for name in ("FactSales", "FactProductBridge"):
+            # Declared, as a folder of buckets may hold no file.
+            stored = spark.read.schema(schemas.stored(name)).parquet(f"{root}/{name}")
+            if name == "FactSales" and schemas.MONTH in stored.columns:
+                months = F.col(schemas.MONTH).cast("int").alias(schemas.MONTH)
+                tables["SalesByMonth"] = stored.select(*schemas.WAREHOUSE[name].names, months)
+            tables[name] = stored.select(*schemas.WAREHOUSE[name].names)
+        for name, columns in schemas.KEPT.items():
+            if exists(spark, f"{root}/{name}"):
+                tables[name] = spark.read.schema(columns).parquet(f"{root}/{name}").drop("bucket")
+        return cls(**tables)
+
+    def bare(self) -> Star:
+        """The seven tables alone."""
+        return replace(self, SalesByMonth=None, DailySums=None, CustomerParts=None, Baskets=None)
 
     def register(self) -> None:
         """Temporary views under the table names, for reports written in SQL."""
-        for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(f.name)
+        for name in schemas.TABLES:
+            getattr(self, name).createOrReplaceTempView(name)
 
     def dimension_of(self, attribute: str) -> str:
         """Dimension holding a descriptive column."""
@@ -55,6 +78,11 @@ def figures() -> dict[str, Column]:
     }
 
 
+def summed_again() -> dict[str, Column]:
+    """The same figures over rows that hold them already."""
+    return {name: F.sum(name) for name in figures()}
+
+
 def sums(named: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in named.items()]
 
@@ -91,8 +119,15 @@ def roll_up(
 
 def sales_by(star: Star, *attributes: str) -> DataFrame:
     """Additive fact figures grouped by dimension attributes (inner star join)."""
+    dims = {star.dimension_of(a) for a in attributes}
+    if star.CustomerParts is not None and dims == {"DimCustomer"}:
+        return roll_up(star, star.CustomerParts, attributes, summed_again())
+    if star.DailySums is not None and "Customer_Name" not in attributes:
+        return roll_up(star, star.DailySums, attributes, summed_again())
     return roll_up(star, star.FactSales, attributes, figures())
 
 
 def sales_per_key(star: Star, key: str) -> DataFrame:
+    if star.DailySums is not None and key != "Customer_Key":
+        return star.DailySums.groupBy(key).agg(*sums(summed_again()))
     return star.FactSales.groupBy(key).agg(*sums(figures()))

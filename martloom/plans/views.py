@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import mean_money, money, ratio
-from martloom.plans.star import Star, figures, sales_per_key, sums
+from martloom.plans.star import Star, figures, sales_per_key, summed_again, sums
 
 def _revenue() -> Column:
     return money(F.col("amount"))
@@ -37,9 +37,12 @@ def sales_overview(star: Star) -> DataFrame:
 
 
 def customer_analysis(star: Star) -> DataFrame:
-    sales = star.FactSales.groupBy("Customer_Key").agg(
-        *sums(figures()), F.countDistinct("Transaction_ID").alias("ids")
-    )
+    if star.CustomerParts is not None:
+        sales = star.CustomerParts.groupBy("Customer_Key").agg(*sums(summed_again()), F.sum("orders").alias("ids"))
+    else:
+        sales = star.FactSales.groupBy("Customer_Key").agg(
+            *sums(figures()), F.countDistinct("Transaction_ID").alias("ids")
+        )
     return star.DimCustomer.join(sales, "Customer_Key", "left").select(
         "Customer_Key",
         "Customer_Name",
@@ -51,14 +54,20 @@ def customer_analysis(star: Star) -> DataFrame:
 
 
 def product_performance(star: Star) -> DataFrame:
-    buyers = star.FactSales.select("Transaction_ID", "Customer_Key")
-    bought = (
-        star.FactProductBridge.join(buyers, "Transaction_ID", "left")
-        .groupBy("Product_Key")
-        .agg(
-            F.count("Transaction_ID").alias("mentions"),
-            F.countDistinct("Customer_Key").alias("buyers"),
+    if star.Baskets is not None:
+        sold = star.Baskets.select(F.explode_outer("Sales").alias("sale"), "Lines")
+        lines = sold.select("sale", F.explode("Lines").alias("line")).select(
+            F.col("line.Product_Key").alias("Product_Key"),
+            F.col("sale.Customer_Key").alias("Customer_Key"),
+            (F.col("line.n") * F.coalesce("sale.n", F.lit(1))).alias("lines"),
         )
+        mentions = F.sum("lines")
+    else:
+        buyers = star.FactSales.select("Transaction_ID", "Customer_Key")
+        lines = star.FactProductBridge.join(buyers, "Transaction_ID", "left")
+        mentions = F.count("Transaction_ID")
+    bought = lines.groupBy("Product_Key").agg(
+        mentions.alias("mentions"), F.countDistinct("Customer_Key").alias("buyers")
     )
     return star.DimProduct.join(bought, "Product_Key", "left").select(
         "Product_Key",

@@ -88,6 +88,34 @@ WAREHOUSE: dict[str, StructType] = {
 }
 TABLES = tuple(WAREHOUSE)
 
+# Facts of the gold layer, whose transaction ids are text still.
+GOLD_FACTS = {
+    "FactSales": (
+        "Transaction_ID string, Date_Key int, Customer_Key int, Store_Key int, Promotion_Key int, "
+        "Total_Items int, Total_Cost double"
+    ),
+    "FactProductBridge": "Transaction_ID string, Product_Key int",
+}
+
+MONTH = "Month_Key"  # YYYYMM, a folder level of the stored fact
+
+_FIGURES = "amount decimal(38,6), costed long, sales long, items long, counted long"
+# Tables that the daily load keeps beside the warehouse, all of them by buckets of transactions.
+KEPT = {
+    "DailySums": f"Date_Key int, Customer_Key int, Store_Key int, Promotion_Key int, {_FIGURES}, bucket string",
+    "CustomerParts": f"Customer_Key int, first_day date, last_day date, dated long, orders long, {_FIGURES}, bucket string",
+    "Baskets": (
+        "Transaction_ID long, Sales array<struct<Date_Key:int,Customer_Key:int,Total_Cost:double,n:long>>, "
+        "Lines array<struct<Product_Key:int,n:long>>, bucket string"
+    ),
+}
+
+
+def stored(table: str) -> StructType:
+    """Columns of a stored warehouse table whatever its folders are; folder levels come on top of them."""
+    return StructType([StructField(f.name, f.dataType) for f in WAREHOUSE[table].fields])
+
+
 # Types a staged file column already has in the typed flavour; anything else stays text there.
 _STAGED_TYPED = (IntegerType, LongType, DoubleType)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martloom import schemas
+from martloom.functions import text
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
 WORKBOOKS = (".xlsx", ".xls")
@@ -21,19 +22,24 @@ def read_csv(
     schema: StructType = schemas.RAW,
     multiline: bool = True,
     header: bool = True,
+    one_line: bool = False,
 ) -> DataFrame:
     """CSV with a fixed schema and doubled-quote escaping.
 
     ``multiline`` keeps line breaks inside quoted cells, at the price of one task per file. Pass
     False for exports known to hold one record per line: such files are then split over many tasks.
+    ``one_line`` is for files that this library wrote with it: they are split, and breaks come back.
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("header", header)
-        .option("multiLine", multiline)
+        .option("multiLine", multiline and not one_line)
         .option("escape", '"')
         .csv(paths)
     )
+    if not one_line:
+        return rows
+    return rows.withColumns({n: text.restored(F.col(n)) for n, kind in rows.dtypes if kind == "string"})
 
 
 def format_of(path: str) -> str:
@@ -86,23 +92,29 @@ def read_staging(
     skip_header: bool | None = None,
     fmt: str = "csv",
     multiline: bool = True,
+    carried: tuple[str, ...] = (),
+    one_line: bool = False,
 ) -> DataFrame:
     """Staged rows of one warehouse table, from CSV or from Parquet brought to the same types.
 
     The typed flavour skips the header line and turns unreadable numbers into null; the text flavour
     keeps every line, header included, as the loaders of that flavour filter it themselves. Cells may hold
-    line breaks, as this library's writers keep them; ``multiline`` as in :func:`read_csv`.
+    line breaks, as this library's writers keep them; ``multiline`` and ``one_line`` as in :func:`read_csv`. ``carried`` names
+    text columns of gold facts that are stored in folders by their values.
     """
     schema = schemas.staging(table, typed)
     path = f"{root}/{table}"
     if fmt == "parquet":
-        stored = spark.read.parquet(path)
-        same = {f.name for f in stored.schema.fields if f.dataType == schema[f.name].dataType}
+        declared = f"{schemas.GOLD_FACTS[table]}, {', '.join(f'{c} string' for c in carried)}" if carried else None
+        stored = (spark.read.schema(declared) if declared else spark.read).parquet(path)
+        kinds = {f.name: f.dataType for f in stored.schema.fields}
+        same = {f.name for f in schema if kinds[f.name] == f.dataType}
         return stored.select(
-            [
+            *[
                 (F.col(f.name) if f.name in same else F.col(f.name).cast("string").try_cast(f.dataType)).alias(f.name)
                 for f in schema
-            ]
+            ],
+            *carried,
         )
     header = typed if skip_header is None else skip_header
-    return read_csv(spark, path, schema, multiline=multiline, header=header)
+    return read_csv(spark, path, schema, multiline=multiline, header=header, one_line=one_line)

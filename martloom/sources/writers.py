@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from martloom import schemas
+from martloom.functions import text
 
 
 def flatten_arrays(df: DataFrame, separator: str = ", ") -> DataFrame:
@@ -24,12 +25,19 @@ def write_layer(
     fmt: str = "parquet",
     partition_by: str | None = None,
     mode: str = "overwrite",
+    one_line: bool = False,
 ) -> None:
-    """Write one layer table as Parquet, or as CSV with header and exact blanks."""
+    """Write one layer table as Parquet, or as CSV with header and exact blanks.
+
+    ``one_line`` writes line breaks in cells by marks, so that a record is a line and readers told so
+    (``one_line`` there) can split a file over many tasks.
+    """
     if fmt == "csv":
+        flat = flatten_arrays(df)
+        if one_line:
+            flat = flat.withColumns({n: text.one_line(F.col(n)) for n, kind in flat.dtypes if kind == "string"})
         writer = (
-            flatten_arrays(df)
-            .write.option("header", True)
+            flat.write.option("header", True)
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
@@ -72,8 +80,8 @@ def write_each(tables: Mapping[str, Table], write: Callable[[str, DataFrame], No
         list(pool.map(run, tables))
 
 
-def write_gold(tables: Mapping[str, Table], root: str, fmt: str = "parquet") -> None:
-    write_each(tables, lambda name, table: write_layer(table, f"{root}/{name}", fmt))
+def write_gold(tables: Mapping[str, Table], root: str, fmt: str = "parquet", one_line: bool = False) -> None:
+    write_each(tables, lambda name, table: write_layer(table, f"{root}/{name}", fmt, one_line=one_line))
 
 
 def write_warehouse(

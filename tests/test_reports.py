@@ -121,6 +121,41 @@ def test_pairs_match_brute_force_in_blocks_of_any_size(spark, block):
         assert found[pair][-1] == pytest.approx(lift, abs=0.0051)
 
 
+@pytest.mark.parametrize("shares", [(), (1 / 16,), (1 / 8, 1 / 2), (1.0,)])
+def test_top_pairs_by_bounds_equal_all_pairs_counted(spark, shares):
+    names = {p: f"name{p:02}" for p in range(30)}
+    lines = [(t, (t * t + k * k * 3) % (5 + t % 26)) for t in range(90) for k in range(t % 6)]
+    star = make_star(spark, sales=[sale(t, 1.0) for t in range(95)], bridge=lines, products=list(names.items()))
+    counted = rows(baskets._best(baskets._scored(*baskets_scored(star)), 10))
+    assert rows(baskets.product_pairs(star, shares=shares)) == counted
+
+
+def baskets_scored(star):
+    """All pairs, products and sales, as the ranking by brute force takes them."""
+    spellings = baskets.product_spellings(star)
+    whole = baskets.basket_items(star, spellings)
+    sold = whole.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("sold"))
+    product = sold.join(spellings.filter("Product_Key = item").select("item", "Product_Name"), "item")
+    return baskets.pair_counts(whole), product, F.lit(star.FactSales.select("Transaction_ID").distinct().count())
+
+
+def test_pairs_of_frequent_products_are_not_formed_where_rare_ones_beat_them(spark, monkeypatch):
+    names = [(p, f"name{p:02}") for p in range(40)]
+    lines = [(t, p) for t in range(60) for p in range(4)] + [(100 + k, 10 + 2 * k + i) for k in range(12) for i in (0, 1)]
+    star = make_star(spark, sales=[sale(t, 1.0) for t in [*range(60), *range(100, 112)]], bridge=lines, products=names)
+    formed, count = [], baskets.pair_counts
+
+    def counting(*args):
+        formed.append(count(*args).agg(F.sum("n")).first()[0])
+        return count(*args)
+
+    monkeypatch.setattr(baskets, "pair_counts", counting)
+    best = rows(baskets.product_pairs(star))
+    assert formed == [12] and len(best) == 10 and {r[-1] for r in best} == {72.0}
+    # Twelve such pairs exist, so twenty are not found among rare products.
+    assert len(rows(baskets.product_pairs(star, n=20))) == 18 and formed[1:] == [12, 12 + 6 * 60]
+
+
 def test_view_names_are_queryable(spark):
     star = make_star(spark, sales=[sale(1, 2.0)], customers=[(1, "a", "x"), (2, "b", "x")])
     views.register_views(star)

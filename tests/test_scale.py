@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harness.tables import tables
 from martloom.operators import gold, silver
 from martloom.operators.keys import with_dense_key
-from martloom.plans import baskets, sales, views
+from martloom.plans import baskets, customers, sales, views
 from martloom.sources.staging import scratch, shared_folder, stage
 
 GIVEN = "/root/testdata/sf0.001"
@@ -181,3 +181,38 @@ def test_hot_transaction_id_is_deduplicated_whole(spark, bronze_of):
 def test_basket_sets_combine_before_the_shuffle(given):
     spellings = baskets.product_spellings(given.star)
     assert "partial_collect_set" in plan(baskets.basket_items(given.star, spellings))
+
+
+def test_a_month_reads_one_folder_of_the_fact(spark, given):
+    march = sales.revenue_in(given.lake_star, (F.col("Year") == 1995) & (F.col("Month") == 3), "Day")
+    text = plan(march)
+    assert "PartitionFilters: [isnotnull(Month_Key" in text and "dynamicpruning" in text.lower()
+    found = rows(march)
+    # What ran, with its figures, tells how many folders were read.
+    metrics = march._jdf.queryExecution().executedPlan()
+    scans, todo = [], [metrics]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if node.metrics().contains("numPartitions"):
+            scans.append(node.metrics().apply("numPartitions").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert scans == [1]
+    assert found == rows(sales.revenue_in(given.lake_star.bare(), (F.col("Year") == 1995) & (F.col("Month") == 3), "Day"))
+    stored = given.lake_star.SalesByMonth.select("Month_Key").distinct().count()
+    assert stored > 50
+
+
+def test_kept_reports_do_not_scan_the_fact_nor_meet_it_by_transaction(spark, given):
+    star = given.lake_star
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        texts = [plan(r) for r in (sales.products_by_category(star), sales.product_revenue(star), sales.products_by_season(star),
+                                   views.product_performance(star), sales.customer_value(star), customers.retention(star),
+                                   sales.month_over_month(star), sales.discount_impact(star), views.time_analysis(star))]
+    for text in texts:
+        assert "/FactSales]" not in text and "/FactProductBridge]" not in text
+        assert not [line for line in text.split("\n") if "Join [Transaction_ID" in line]
+    assert "/Baskets]" in texts[0] and "/CustomerParts]" in texts[4] and "/DailySums]" in texts[6]

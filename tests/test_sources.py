@@ -79,3 +79,36 @@ def test_typed_staging_skips_header_and_text_staging_keeps_it(spark, tmp_path):
     typed = readers.read_staging(spark, str(tmp_path), "DimStore", typed=True)
     assert rows(typed) == [(1, "Oslo", "a,b"), (None, "Bergen", "c")]
     assert readers.read_staging(spark, str(tmp_path), "DimStore", typed=False).count() == 3
+
+
+BROKEN = ["a\nb", "\r\n", "~n", "~~\n~t~r", '"q", ~', "", "plain", None, "~", "\r", " x ", "a b"]
+
+
+def test_cells_on_one_line_come_back_as_they_were(spark, tmp_path):
+    from martloom.functions import text
+
+    cells = spark.createDataFrame([(i, c) for i, c in enumerate(BROKEN)], "i int, c string")
+    both = cells.select("c", text.one_line(F.col("c")).alias("w"), text.restored(text.one_line(F.col("c"))).alias("r"))
+    for c, w, r in rows(both):
+        assert r == c and (w is None or not set("\r\n") & set(w))
+    path = f"{tmp_path}/cells.csv"
+    writers.write_layer(cells, path, "csv", one_line=True)
+    found = dict(rows(readers.read_csv(spark, path, cells.schema, one_line=True)))
+    # An empty cell is no value in a CSV file.
+    assert found == {i: c or None for i, c in enumerate(BROKEN)}
+
+
+def test_one_file_of_one_line_records_is_read_by_several_tasks(spark, tmp_path):
+    cells = spark.range(4000).select(F.col("id").cast("int").alias("i"), F.concat(F.lit("line\n"), F.col("id").cast("string")).alias("c"))
+    one, other = f"{tmp_path}/one.csv", f"{tmp_path}/other.csv"
+    writers.write_layer(cells.coalesce(1), one, "csv", one_line=True)
+    writers.write_layer(cells.coalesce(1), other, "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split = readers.read_csv(spark, one, cells.schema, one_line=True)
+        whole = readers.read_csv(spark, other, cells.schema)
+        parts = lambda df: df.select(F.spark_partition_id(), F.input_file_name()).distinct()
+        assert parts(split).count() > 4 and parts(whole).count() == 1
+        assert sorted(rows(split)) == sorted(rows(whole)) == sorted(rows(cells))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -31,15 +31,16 @@ def refine(
 
     Of equal texts (equal but for the case of A-Z) the row with the largest id stays. ``text_sha256`` is the
     hash of the normalised text; it is null for rows that refinement settled without reading them in
-    full, unless ``hash_all``.
+    full, unless ``hash_all``: then it is taken in the scan, and no text goes through a join.
 
     Null text is an empty text. A null id loses against any other; a group of null ids alone keeps
     them all, as do rows that repeat both id and text, since nothing tells them apart (``group_size``
     counts every row). An empty table gives no rows. Other columns are never looked at.
     """
+    whole = F.sha2(normalised(F.col(text_col)), 256)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
-        F.col(text_col).alias("text"),
+        (whole if hash_all else F.col(text_col)).alias("content"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).alias("size"),
         F.xxhash64(normalised(F.substring(text_col, 1, prefix_chars))).alias("prefix"),
     )
@@ -51,12 +52,12 @@ def refine(
         slim.where("n > 1").join(sizes.where("of_size > 1"), "size", "left_semi").select("size", "prefix"),
         "refine-pairs",
     ).withColumn("again", F.lit(True))
-    whole = F.sha2(normalised(F.col("text")), 256)
+    whole = F.col("content") if hash_all else F.when(F.col("again"), F.sha2(normalised(F.col("content")), 256))
     hashed = stage(
         rows.join(pairs, ["size", "prefix"], "left").select(
             "doc_id",
             F.coalesce("again", F.lit(False)).alias("again"),
-            (whole if hash_all else F.when(F.col("again"), whole)).alias("text_sha256"),
+            whole.alias("text_sha256"),
         ),
         "refine-hashed",
     )

@@ -27,7 +27,8 @@ from martloom.sources.staging import stage
 _FLUSH = 1 << 19  # runs that a task holds before it deals them out
 _BUCKETS = 4096
 _BASE = 0xC2B2AE3D27D4EB4F
-REMOVED = "doc_id long, start long, stop long"
+_GATHERED = 1 << 20  # ranges that a task merges at once
+REMOVED = "bucket int, ranges binary"
 
 
 class Spec(NamedTuple):
@@ -120,6 +121,81 @@ def merged_ranges(docs: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa
     )
 
 
+class Gathered:
+    """Ranges that a task has found: merged over all that it reads, and sent packed by bucket of their document.
+
+    So what a task sends follows the removed runs that it knows of, not the windows or minimizers behind them.
+    """
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets, self.held, self.size = buckets, [], 0
+
+    def add(self, docs, starts, stops) -> None:
+        self.held.append(np.stack([np.asarray(c, np.int64) for c in (docs, starts, stops)]))
+        self.size += self.held[-1].shape[1]
+
+    def _merged(self) -> np.ndarray:
+        columns = np.concatenate(self.held, axis=1) if self.held else np.empty((3, 0), np.int64)
+        return np.stack([c.to_numpy() for c in merged_ranges(*columns).columns]) if columns.shape[1] else columns
+
+    def full(self) -> bool:
+        """Whether there is too much to hold even when merged."""
+        if self.size >= _GATHERED:
+            self.held = [self._merged()]
+            self.size = self.held[0].shape[1]
+        return self.size >= _GATHERED // 2
+
+    def blob(self) -> bytes:
+        """All ranges as one value, for ``add_blob`` of another task."""
+        found = self._merged().tobytes()
+        self.held, self.size = [], 0
+        return found
+
+    def add_blob(self, blob: bytes) -> None:
+        self.add(*np.frombuffer(blob, np.int64).reshape(3, -1))
+
+    def rows(self) -> pa.RecordBatch:
+        merged = self._merged()
+        self.held, self.size = [], 0
+        bucket = (mixed(merged[0].view(np.uint64)) % np.uint64(self.buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        merged, bucket = merged[:, order], bucket[order]
+        names, at = np.unique(bucket, return_index=True)
+        blobs = [merged[:, a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(bucket)])]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "ranges"])
+
+
+def by_document(packed: DataFrame) -> DataFrame:
+    """``doc_id, ranges``: the maximal runs of every document that has any."""
+
+    def work(batches):
+        def done(held):
+            ranges = merged_ranges(*np.concatenate([np.frombuffer(h, np.int64).reshape(3, -1) for h in held], axis=1))
+            docs = ranges.column("doc_id").to_numpy()
+            at = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+            cells = pa.StructArray.from_arrays([ranges.column("start"), ranges.column("stop")], ["start", "stop"])
+            lists = pa.ListArray.from_arrays(pa.array([*at, len(docs)], pa.int32()), cells)
+            return pa.RecordBatch.from_arrays([pa.array(docs[at]), lists], ["doc_id", "ranges"])
+
+        at, held = None, []
+        for batch in batches:
+            for bucket, ranges in zip(batch.column("bucket").to_pylist(), batch.column("ranges").to_pylist()):
+                if bucket != at and held:
+                    yield done(held)
+                    held = []
+                at = bucket
+                held.append(ranges)
+        if held:
+            yield done(held)
+
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(work, "doc_id long, ranges array<struct<start:long,stop:long>>")
+
+
+def bucket_count(rows: DataFrame) -> int:
+    return max(_BUCKETS, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def settle(keys: tuple[np.ndarray, ...], docs: np.ndarray, starts: np.ndarray, same_doc: bool) -> tuple[np.ndarray, np.ndarray]:
     """Order by keys, document and start; which rows (in that order) stay as the earliest of equal keys.
 
@@ -198,19 +274,15 @@ def _dealt(rows: DataFrame, spec: Spec, sketch: Broadcast, buckets: int) -> Data
     )
 
 
-def _met(dealt: DataFrame, spec: Spec) -> DataFrame:
-    """``doc_id, start, stop`` of runs that occur earlier as a whole, or ``key`` of contested minimizers."""
+def _met(dealt: DataFrame, spec: Spec, buckets: int) -> DataFrame:
+    """``bucket, ranges`` of runs that occur earlier as a whole, or ``keys`` of contested minimizers."""
 
     def work(batches):
-        def out(ranges, keys):
-            none = pa.nulls(len(keys), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.concat_arrays([c.cast(pa.int64()), none]) for c in ranges.columns),
-                    pa.concat_arrays([pa.nulls(ranges.num_rows, pa.int64()), pa.array(keys.view(np.int64))]),
-                ],
-                ["doc_id", "start", "stop", "key"],
-            )
+        found = Gathered(buckets)
+
+        def out(packed):
+            none = pa.nulls(packed.num_rows, pa.binary())
+            return pa.RecordBatch.from_arrays([*packed.columns, none], ["bucket", "ranges", "keys"])
 
         def bucket_done(held):
             key, content = (np.concatenate([np.frombuffer(h[i], np.uint64) for h in held]) for i in (0, 1))
@@ -219,7 +291,13 @@ def _met(dealt: DataFrame, spec: Spec) -> DataFrame:
             gone = order[~first]
             k, c = key[order], content[order]
             other = np.flatnonzero((k[1:] == k[:-1]) & (c[1:] != c[:-1]))
-            yield from out(merged_ranges(doc[gone], start[gone], stop[gone]), np.unique(k[other]))
+            found.add(doc[gone], start[gone], stop[gone])
+            keys = np.unique(k[other])
+            if len(keys):
+                cells = [pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([keys.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, ["bucket", "ranges", "keys"])
+            if found.full():
+                yield out(found.rows())
 
         at, held = None, []
         for batch in batches:
@@ -227,8 +305,7 @@ def _met(dealt: DataFrame, spec: Spec) -> DataFrame:
             for i, (bucket, kind) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist())):
                 raw = [None if not c[i].is_valid else c[i].as_py() for c in columns]
                 if kind == 1:
-                    known = [pa.array(np.frombuffer(x, np.int64)) for x in raw[2:]]
-                    yield from out(pa.RecordBatch.from_arrays(known, ["doc_id", "start", "stop"]), np.empty(0, np.uint64))
+                    found.add(*(np.frombuffer(x, np.int64) for x in raw[2:]))
                     continue
                 if bucket != at and held:
                     yield from bucket_done(held)
@@ -237,8 +314,10 @@ def _met(dealt: DataFrame, spec: Spec) -> DataFrame:
                 held.append(raw)
         if held:
             yield from bucket_done(held)
+        if found.size:
+            yield out(found.rows())
 
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, f"{REMOVED}, key long")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, f"{REMOVED}, keys binary")
 
 
 def contested_runs(batches, spec: Spec, sketch: Sketch, contested: Sketch):
@@ -256,23 +335,24 @@ def contested_runs(batches, spec: Spec, sketch: Sketch, contested: Sketch):
 def repeated_ranges(
     docs: DataFrame, id_col: str, text_col: str, spec: Spec, by_window: Callable[[DataFrame, Broadcast, Broadcast], DataFrame]
 ) -> DataFrame:
-    """``(doc_id, ranges)``: ranges of units covered by windows that occur earlier, in no order, overlapping.
+    """``(doc_id, ranges)``: the maximal runs of units covered by windows that occur earlier.
 
-    ``by_window(rows, sketch, contested)`` gives ``doc_id, start, stop`` for windows of contested runs.
+    ``by_window(rows, sketch, contested)`` gives packed ranges for windows of contested runs.
     """
     session = docs.sparkSession
     send = session.sparkContext.broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = send(run_sketch(rows, spec))
-    buckets = max(_BUCKETS, 4 * int(session.conf.get("spark.sql.shuffle.partitions")))
-    met = stage(_met(_dealt(rows, spec, sketch, buckets), spec), "repeats-met")
+    buckets = bucket_count(rows)
+    met = stage(_met(_dealt(rows, spec, sketch, buckets), spec, buckets), "repeats-met")
 
     def keys_of(batch):
-        yield batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+        for keys in batch.column("keys"):
+            yield np.frombuffer(keys.as_buffer(), np.uint64)
 
-    contested = send(sketch_of(met.where("key IS NOT NULL").select("key"), keys_of, spec.log2, depth=1, least=1))
-    found = met.where("key IS NULL").select("doc_id", "start", "stop").unionByName(by_window(rows, sketch, contested))
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    contested = send(sketch_of(met.where("keys IS NOT NULL").select("keys"), keys_of, spec.log2, depth=1, least=1))
+    found = met.where("ranges IS NOT NULL").select("bucket", "ranges")
+    return by_document(found.unionByName(by_window(rows, sketch, contested)))
 
 
 def uncovered(count: int, ranges) -> tuple[np.ndarray, int]:

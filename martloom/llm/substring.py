@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import repeats
-from martloom.llm.repeats import REMOVED, Spec, merged_ranges, settle, window_hashes
+from martloom.llm.repeats import REMOVED, Gathered, Spec, settle, window_hashes
 
 WINDOW = 20
 GRAM = 8
@@ -27,24 +27,27 @@ def _units(text: str | None) -> np.ndarray:
 
 def _grouped(spec: Spec):
     def by_window(rows: DataFrame, sketch, contested) -> DataFrame:
+        buckets = repeats.bucket_count(rows)
+
         def emit(held):
             key, one, two, doc, start = (np.concatenate(x) for x in zip(*held))
             order, first = settle((two, one), doc, start, spec.same_doc)
             gone = order[~first]
             keep = order[first]
-            known = merged_ranges(doc[gone], start[gone], start[gone] + spec.window)
-            no = known.num_rows
-            # Ranges that a task finds by itself travel beside the windows that others may have earlier.
+            known = Gathered(buckets)
+            known.add(doc[gone], start[gone], start[gone] + spec.window)
+            # Ranges that a task finds by itself travel as one value beside the windows that others may have earlier.
+            blobs = [known.blob()] if len(gone) else []
+            names = np.array([xxhash.xxh64_intdigest(b) for b in blobs], np.uint64).view(np.int64)
+            none = pa.nulls(len(blobs), pa.int64())
+            columns = (one[keep].view(np.int64), two[keep].view(np.int64), doc[keep], start[keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(key[keep].view(np.int64)), pa.array(np.arange(no))]),
-                    pa.concat_arrays([pa.array(one[keep].view(np.int64)), pa.nulls(no, pa.int64())]),
-                    pa.concat_arrays([pa.array(two[keep].view(np.int64)), pa.nulls(no, pa.int64())]),
-                    pa.concat_arrays([pa.array(doc[keep]), known.column("doc_id")]),
-                    pa.concat_arrays([pa.array(start[keep]), known.column("start")]),
-                    pa.concat_arrays([pa.array(start[keep] + spec.window), known.column("stop")]),
+                    pa.array(np.concatenate([key[keep].view(np.int64), names])),
+                    *(pa.concat_arrays([pa.array(c, pa.int64()), none]) for c in columns),
+                    pa.concat_arrays([pa.nulls(len(keep), pa.binary()), pa.array(blobs, pa.binary())]),
                 ],
-                ["key", "one", "two", "doc_id", "start", "stop"],
+                ["key", "one", "two", "doc_id", "start", "ranges"],
             )
 
         def work(batches):
@@ -72,13 +75,14 @@ def _grouped(spec: Spec):
                 )
                 order, first = settle((two, one), doc, start, spec.same_doc)
                 gone = order[~first]
-                return merged_ranges(doc[gone], start[gone], start[gone] + spec.window)
+                found.add(doc[gone], start[gone], start[gone] + spec.window)
 
-            held, size = [], 0
+            held, size, found = [], 0, Gathered(buckets)
             for batch in batches:
-                ranges = batch.filter(batch.column("two").is_null())
-                if ranges.num_rows:
-                    yield ranges.select(["doc_id", "start", "stop"])
+                for blob in batch.column("ranges").drop_null().to_pylist():
+                    found.add_blob(blob)
+                if found.full():
+                    yield found.rows()
                 batch = batch.filter(batch.column("two").is_valid())
                 if not batch.num_rows:
                     continue
@@ -87,14 +91,16 @@ def _grouped(spec: Spec):
                     before = held[-1].column("key")[-1].as_py()
                     cut = int(np.argmax(keys != before)) if (keys != before).any() else len(keys)
                     if cut < len(keys):
-                        yield done([*held, batch.slice(0, cut)])
+                        done([*held, batch.slice(0, cut)])
                         held, size, batch = [], 0, batch.slice(cut)
                 held.append(batch)
                 size += batch.num_rows
             if held:
-                yield done(held)
+                done(held)
+            if found.size:
+                yield found.rows()
 
-        met = rows.mapInArrow(work, "key long, one long, two long, doc_id long, start long, stop long")
+        met = rows.mapInArrow(work, "key long, one long, two long, doc_id long, start long, ranges binary")
         return met.repartition("key").sortWithinPartitions("key").mapInArrow(group, REMOVED)
 
     return by_window

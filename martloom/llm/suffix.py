@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import repeats
-from martloom.llm.repeats import REMOVED, Spec, merged_ranges
+from martloom.llm.repeats import REMOVED, Gathered, Spec, merged_ranges
 
 WINDOW = 50
 GRAM = 20
@@ -158,21 +158,25 @@ def settle_chunk(docs: np.ndarray, starts: np.ndarray, contents: list[bytes], wi
 
 def _by_suffix(spec: Spec):
     def by_window(rows: DataFrame, sketch, contested) -> DataFrame:
+        buckets = repeats.bucket_count(rows)
+
         def emit(held, lost):
             batch = [(k, d, s, c) for (k, c), (d, at) in held.items() for s in at]
             keys, docs, starts, contents = zip(*batch) if batch else ((), (), (), ())
-            known = merged_ranges(*np.array(lost, np.int64).reshape(-1, 3).T)
-            no = known.num_rows
-            # Ranges that a task finds by itself travel beside the contents that others may have earlier.
+            known = Gathered(buckets)
+            known.add(*np.array(lost, np.int64).reshape(-1, 3).T)
+            # Ranges that a task finds by itself travel as one value beside the contents that others may have earlier.
+            blobs = [known.blob()] if lost else []
+            keys = [*keys, *map(xxhash.xxh64_intdigest, blobs)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.arange(no))]),
-                    pa.concat_arrays([pa.array(docs, pa.int64()), known.column("doc_id")]),
-                    pa.concat_arrays([pa.array(starts, pa.int64()), known.column("start")]),
-                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), known.column("stop")]),
-                    pa.concat_arrays([pa.array(contents, pa.binary()), pa.nulls(no, pa.binary())]),
+                    pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array([*docs, *(None for _ in blobs)], pa.int64()),
+                    pa.array([*starts, *(None for _ in blobs)], pa.int64()),
+                    pa.array([*contents, *(None for _ in blobs)], pa.binary()),
+                    pa.array([*(None for _ in docs), *blobs], pa.binary()),
                 ],
-                ["key", "doc_id", "start", "stop", "content"],
+                ["key", "doc_id", "start", "content", "ranges"],
             )
 
         def work(batches):
@@ -205,16 +209,18 @@ def _by_suffix(spec: Spec):
                 yield from emit(held, lost)
 
         def sort(batches):
-            held, size = [], 0
+            held, size, found = [], 0, Gathered(buckets)
 
             def done(tables):
                 docs, starts = (np.concatenate([t.column(n).to_numpy() for t in tables]) for n in ("doc_id", "start"))
-                return settle_chunk(docs, starts, [c for t in tables for c in t.column("content").to_pylist()], spec.window)
+                contents = [c for t in tables for c in t.column("content").to_pylist()]
+                found.add(*settle_chunk(docs, starts, contents, spec.window).columns)
 
             for batch in batches:
-                ranges = batch.filter(batch.column("content").is_null())
-                if ranges.num_rows:
-                    yield ranges.select(["doc_id", "start", "stop"])
+                for blob in batch.column("ranges").drop_null().to_pylist():
+                    found.add_blob(blob)
+                if found.full():
+                    yield found.rows()
                 batch = batch.filter(batch.column("content").is_valid())
                 if not batch.num_rows:
                     continue
@@ -224,7 +230,7 @@ def _by_suffix(spec: Spec):
                     before = held[-1].column("key")[-1].as_py()
                     cut = int(np.searchsorted(keys != before, True)) if keys[0] == before else 0
                     if cut < len(keys):
-                        yield done([*held, batch.slice(0, cut)])
+                        done([*held, batch.slice(0, cut)])
                         held, size = [], 0
                     else:
                         cut = 0
@@ -232,9 +238,11 @@ def _by_suffix(spec: Spec):
                 held.append(rest)
                 size += rest.column("content").nbytes
             if held:
-                yield done(held)
+                done(held)
+            if found.size:
+                yield found.rows()
 
-        met = rows.mapInArrow(work, "key long, doc_id long, start long, stop long, content binary")
+        met = rows.mapInArrow(work, "key long, doc_id long, start long, content binary, ranges binary")
         return met.repartition("key").sortWithinPartitions("key").mapInArrow(sort, REMOVED)
 
     return by_window

@@ -297,7 +297,8 @@ _PARTS["lake_DimDate"] = "SELECT * FROM c_calendar"
 
 
 def _of_lake(sql: str) -> str:
-    return re.sub(r"\b(Fact(?:Sales|ProductBridge)|Dim(?:Customer|Store|Product|Promotion|Date))\b", r"lake_\1", sql)
+    names = r"\b(Fact(?:Sales|ProductBridge)|Dim(?:Customer|Store|Product|Promotion|Date)|bought|name_counts|pair_list)\b"
+    return re.sub(names, r"lake_\1", sql)
 
 
 def _with(body: str) -> str:
@@ -785,6 +786,8 @@ FROM DimDate LEFT JOIN FactSales USING (Date_Key) GROUP BY ALL"""
 
 
 # The same reports over the warehouse of the lake, and profiles over all that is current there.
+for _name in ("bought", "name_counts", "pair_list"):
+    _PARTS[f"lake_{_name}"] = _of_lake(_PARTS[_name])
 _KEPT = re.compile(r"(e([5-9]|1[0-8]|2[1-5])|a\d|w[2-6])_")
 for _name in [n for n in _SQL if _KEPT.match(n)]:
     _SQL[f"{_name}_kept"] = _of_lake(_SQL[_name])

@@ -120,7 +120,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned. A tie goes to the first
     language by name. A null id is carried along, repeated rows give repeated results, an empty
-    table gives no rows. Only the text is looked at.
+    table gives no rows. Only the text is looked at. A very long text counts whole, stretch by stretch.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = [*prototypes, UNKNOWN]

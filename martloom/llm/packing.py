@@ -199,7 +199,7 @@ def pack(
     leaves a few sequences part empty, so pools should be large.
 
     Null and empty texts are an end id alone. A null id is carried along; repeated rows are packed each on
-    their own. An empty table gives no rows.
+    their own. An empty table gives no rows. A very long text is encoded whole and only its ids are cut.
     """
     pieces = stage(token_pieces(docs, tokenizer or default_tokenizer(), id_col, text_col, capacity), "packing-pieces")
     columns = pieces.columns

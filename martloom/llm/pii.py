@@ -124,7 +124,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ``BASE_KINDS`` are found by their fixed grammar: leftmost, not overlapping, failing candidates dropped.
     ``url``, ``iban`` and ``secret`` come from schemes and cue words. Null and empty texts have no spans, a
-    null id is carried along, repeated rows give repeated results, an empty table gives no rows.
+    null id is carried along, repeated rows give repeated results, an empty table gives no rows. A text of any
+    length is searched whole; places count its code points.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 

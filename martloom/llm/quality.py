@@ -172,6 +172,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, train_rows: int =
     """Fit on about ``train_rows`` labelled documents for which ``usable`` holds, chosen by a hash of the id.
 
     Only their ids are sent to the tasks and only their statistics to the driver: bounded by the parameter.
+    A label row that repeats, or a document that does, weighs as often as it is there.
     """
     known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).where(usable & F.col("label").isNotNull())
     share = min(1.0, train_rows / max(1, known.count()))
@@ -186,6 +187,7 @@ def score(docs: DataFrame, ensemble: Ensemble, id_col: str = "doc_id", text_col:
     """``(doc_id, score)`` per input row: the probability that the text is of good quality.
 
     Null and empty texts are scored like any other, from their statistics. A null id is carried along,
-    repeated rows give repeated results, an empty table gives no rows. Other columns are never looked at.
+    repeated rows give repeated results, an empty table gives no rows. Other columns are never looked at. The
+    statistics of a very long text are taken over all of it.
     """
     return statistics(docs, id_col, text_col).select("doc_id", ensemble.score().alias("score"))

@@ -58,7 +58,8 @@ def kd_shards(
     bytes, so a leaf is off by at most about one document per level. ``slot`` numbers a shard's rows from 0.
 
     Null texts have no bytes, null metadata come first. Rows that repeat id and text count each on their own;
-    which of them gets which slot is open. An empty table gives no rows.
+    which of them gets which slot is open. An empty table gives no rows. A text is never cut, so a very long one
+    makes its shard that much larger. Equal texts have equal checksums; they may lie in different shards.
     """
     text = F.col(text_col)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD

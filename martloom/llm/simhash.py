@@ -215,7 +215,8 @@ def near_duplicates(
     Components link fingerprints that differ in at most ``radius`` bits; ``component_id`` is the
     smallest id reachable, the row itself included. Null and wordless texts share fingerprint zero.
     A row with a null id takes part like any other; a component of null ids alone has a null
-    ``component_id``. Repeated rows share a fingerprint. An empty table gives no rows.
+    ``component_id``. Repeated rows share a fingerprint. An empty table gives no rows. All shingles of a very
+    long text count, stretch by stretch.
     """
     marked = stage(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fingerprints")
     nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "simhash-nodes")
@@ -364,7 +365,8 @@ def similar_documents(
     forest of its candidates. The groups that these form hold every true link between candidates, so the
     sets are compared in full within each group.
 
-    Null, empty and wordless texts and rows without an id are never linked. Repeated rows count as one.
+    Null, empty and wordless texts and rows without an id are never linked. Repeated rows count as one. All
+    shingles of a very long text count, in its fingerprint and in its set.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     radii = {small: tuple(radius_for(similarity, bits, SLACK, small) for bits in (64 * lanes, 64)) for small in (False, True)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.digests import joined_numbers, joined_sha256
 from martloom.operators.keys import with_dense_key
-from martloom.sources.staging import stage
+from martloom.sources.staging import new_folder, stage
 
 HEAD, WIDE = 8, 32  # turns in the first block of columns and in each later one
 ID_BYTES = 16
@@ -194,7 +194,10 @@ def prefix_trie(turns: DataFrame, members: DataFrame, head: int = HEAD, wide: in
     blocks = stage(blocks.repartitionByRange("block", "conv_id").sortWithinPartitions("block"), "trie-blocks")
     # The root is known by the smallest of all conversations, as any node.
     live = sized.select("conv_id", F.lit(smallest).cast("long").alias("node"), "n")
-    found, ends, start = [], [], 0
+    # Blocks add to one stored table of ends and one of nodes: plans do not grow with the number of blocks.
+    spark = turns.sparkSession
+    ends, done = new_folder(spark, "trie-ended"), new_folder(spark, "trie-result")
+    found, start = [], 0
     while start == 0 or start < longest:
         width = head if start == 0 else wide
         here = blocks.where(F.col("block") == len(found)).drop("block")
@@ -205,16 +208,15 @@ def prefix_trie(turns: DataFrame, members: DataFrame, head: int = HEAD, wide: in
         met = stage(live.select("conv_id", "node", "n", path).join(reached, ["node", "path"]), "trie-reached")
         found.append((nodes, start, width))
         start += width
-        ends.append(met.where(F.col("n") <= start).select(F.col("at").alias("conv_id"), F.col("n").alias("depth"), F.col("conv_id").alias("member")))
+        ended = met.where(F.col("n") <= start).select(F.col("at").alias("conv_id"), F.col("n").alias("depth"), F.col("conv_id").alias("member"))
+        ended.write.mode("append").parquet(ends)
         live = met.where(F.col("n") > start).select("conv_id", F.col("at").alias("node"), "n")
-    result, below = None, None
+    below = None
     for nodes, start, width in reversed(found):
         rows, below = _with_subtrees(nodes, below, start, width)
-        result = rows if result is None else result.unionByName(rows)
-    ended = ends[0]
-    for more in ends[1:]:
-        ended = ended.unionByName(more)
-    parts = joined_numbers(ended, ["conv_id", "depth"], "member")
+        rows.write.mode("append").parquet(done)
+    result = spark.read.schema(rows.schema).parquet(done)
+    parts = joined_numbers(spark.read.schema(ended.schema).parquet(ends), ["conv_id", "depth"], "member")
     hashes = stage(joined_sha256(parts, ["conv_id", "depth"], ["first"], "joined", ","), "trie-ends")
     none = F.sha2(F.lit(""), 256)
     return result.join(hashes, ["conv_id", "depth"], "left").select(

@@ -43,6 +43,27 @@ def test_exact_copies_match_brute_force(frame, copied_rows, odd_rows):
         assert sorted(map(tuple, found.collect()), key=repr) == expected_exact(rows)
 
 
+def test_no_text_is_shuffled_where_all_are_hashed(spark, copied_rows, monkeypatch):
+    shuffled, keep = [], exact.stage
+
+    def watched(df, label):
+        todo = [df._jdf.queryExecution().sparkPlan(), df._jdf.queryExecution().executedPlan().initialPlan()]
+        while todo:
+            node = todo.pop()
+            if "Exchange" in node.nodeName():
+                shuffled.extend(node.output().apply(i).name() for i in range(node.output().size()))
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        return keep(df, label)
+
+    monkeypatch.setattr(exact, "stage", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exact.refine(spark.createDataFrame(copied_rows, "doc_id long, text string"), hash_all=True).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {"size", "prefix", "content"} <= set(shuffled) and "text" not in shuffled
+
+
 def test_exact_reads_in_full_only_what_survives(frame):
     rows = [(1, "alpha"), (2, "ALPHA"), (3, "beta one"), (4, "gamma")]
     hashed = {r["doc_id"]: r["text_sha256"] for r in exact.refine(frame(rows)).collect()}

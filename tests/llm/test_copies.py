@@ -8,8 +8,9 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from martloom.llm import exact, simhash, substring, suffix
+from martloom.llm import exact, repeats, simhash, substring, suffix
 from martloom.llm.components import components
 from martloom.llm.windows import HOT
 
@@ -246,3 +247,22 @@ def test_substring_repeated_rows_and_missing_ids_stay(frame):
     text = " ".join(map(str, range(50)))
     found = substring.remove_repeated_words(frame([(1, text), (1, text), (None, text)]), log2=20).collect()
     assert [r["n_removed"] for r in found] == [0, 0, 0]
+
+
+def test_removed_ranges_travel_in_few_rows_however_many_documents_share_them(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{i} {passage} {i}") for i in range(3000)], "doc_id long, text string")
+    spec = repeats.Spec(suffix._bytes, suffix.WINDOW, suffix.GRAM, False, 16)
+    rows = docs.repartition(8)
+    sketch = spark.sparkContext.broadcast(repeats.run_sketch(rows, spec))
+    dealt = repeats._dealt(rows, spec, sketch, repeats.bucket_count(rows))
+    counts = [repeats.range_bucket_count(rows), repeats.bucket_count(rows)]
+    few, many = (repeats._met(dealt, spec, n).where("ranges IS NOT NULL").select("ranges", F.spark_partition_id().alias("task")) for n in counts)
+    tasks = few.select("task").distinct().count()
+    assert few.count() <= tasks * counts[0] < many.count()
+
+    def whole(packed):
+        raw = np.concatenate([np.frombuffer(r[0], np.int64).reshape(3, -1) for r in packed.collect()], axis=1)
+        return [c.to_pylist() for c in repeats.merged_ranges(*raw).columns]
+
+    assert whole(few) == whole(many) and len(set(whole(few)[0])) == 2999

@@ -91,3 +91,15 @@ def test_a_format_is_written_when_it_is_asked_for(spark, tmp_path):
     assert all(n.endswith(".csv.gz") for names in files.data_files(spark, landing["csv"]).values() for n in names)
     assert len(list(landing.items())) == 3 and "transactions.json" in os.listdir(tmp_path)
     assert spark.read.json(landing["json"]).agg(F.count(F.lit(1))).first()[0] == spark.read.parquet(landing["parquet"]).count()
+
+
+def test_files_are_listed_in_few_calls(spark, tmp_path, monkeypatch):
+    spark.range(60).selectExpr("id", "id % 3 AS a", "id AS b").repartition(1).write.partitionBy("a", "b").parquet(f"{tmp_path}/t{{1}}")
+    client, calls = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda command, *a, **k: (calls.append(command[0]), send(command, *a, **k))[1])
+    found = files.data_files(spark, f"{tmp_path}/t{{1}}")
+    assert len(found) == 60 and all(f.split("/")[-1].startswith("b=") and len(names) == 1 for f, names in found.items())
+    # Commands "m" are garbage of earlier calls. Walking the folders took ten calls a file.
+    assert len([c for c in calls if c != "m"]) < 6 * 60
+    assert files.data_files(spark, f"{tmp_path}/none") == {}

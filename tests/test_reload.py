@@ -103,3 +103,47 @@ def test_files_are_listed_in_few_calls(spark, tmp_path, monkeypatch):
     # Commands "m" are garbage of earlier calls. Walking the folders took ten calls a file.
     assert len([c for c in calls if c != "m"]) < 6 * 60
     assert files.data_files(spark, f"{tmp_path}/none") == {}
+
+
+def test_a_batch_that_comes_again_unchanged_is_not_parsed(spark, tmp_path, raw_row, monkeypatch):
+    layers = daily.Layers(f"{tmp_path}/lake", 10)
+    cells = ({}, {"Transaction_ID": "2"}, {"Transaction_ID": "2"}, {"Transaction_ID": "3", "Total_Cost": "x"})
+    first = _batch(spark, tmp_path, raw_row, "a", *cells)
+    _, counts = daily.run_daily(spark, layers.root, first, "2024-01-01", span=10)
+    parsed, shape = [], silver.shape
+    monkeypatch.setattr(silver, "shape", lambda *a: (parsed.append(1), shape(*a))[1])
+    _, again = daily.run_daily(spark, layers.root, first, "2024-01-01", span=10)
+    assert not parsed and again == counts and counts["read"] == 4 and counts["dropped"] == 1
+    # Other rows that come twice, other formats, or no silver folder: all of them are parsed.
+    twice = _batch(spark, tmp_path, raw_row, "b", {}, {"Transaction_ID": "4"}, {"Transaction_ID": "4"}, cells[-1])
+    star, _ = daily.run_daily(spark, layers.root, twice, "2024-01-01", span=10)
+    assert parsed and sorted(r[0] for r in rows(star.FactSales.select("Transaction_ID"))) == [1, 4]
+    for change in (lambda: daily.refine(spark, layers, "2024-01-01", ("yyyy",)), lambda: daily.refine(spark, layers, "2024-01-01")):
+        parsed.clear()
+        change()
+        assert parsed
+    files.remove(spark, layers.silver)
+    parsed.clear()
+    daily.refine(spark, layers, "2024-01-01")
+    assert parsed and daily.silver_rows(spark, layers).count() == 2
+
+
+def test_a_value_that_moves_to_an_empty_cell_is_a_change(spark, tmp_path, raw_row):
+    load = lambda name, **cells: daily.run_daily(
+        spark, f"{tmp_path}/lake", _batch(spark, tmp_path, raw_row, name, cells), "2024-01-01"
+    )[0]
+    load("a", Season="gold", Promotion="NA")
+    star = load("b", Season="NA", Promotion="gold")
+    assert rows(star.FactSales.join(star.DimPromotion, "Promotion_Key").select("Promotion")) == [("Gold",)]
+
+
+def test_parsed_rows_are_stored_without_what_follows_from_them(spark, tmp_path, raw_row, monkeypatch):
+    layers, staged = daily.Layers(f"{tmp_path}/lake"), {}
+    put = daily.stage
+    monkeypatch.setattr(daily, "stage", lambda df, label: (staged.__setitem__(label, df.columns), put(df, label))[1])
+    first = _batch(spark, tmp_path, raw_row, "a", {}, {"Transaction_ID": "2", "Total_Cost": "x"})
+    daily.run_daily(spark, layers.root, first, "2024-01-01")
+    assert not set(staged["marked"]) & set(silver.DERIVED)
+    rejects = spark.read.parquet(layers.rejects)
+    assert rows(rejects.select("Year", "Month_Name", "Product_Array", "faults")) == [(2024, "March", ["milk", "bread"], ["bad_cost"])]
+    assert {n.split(".")[-2] for names in files.data_files(spark, layers.current).values() for n in names} == {"zstd"}

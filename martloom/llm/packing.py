@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from functools import cache
@@ -19,15 +18,17 @@ from martloom.sources.staging import stage
 CAPACITY = 2048
 POOL = 1 << 17
 END_ID = 0
-_WORDS = 1 << 18
+_WORDS = 1 << 19
 _BATCH = 1024
 # White space other than these four: a text that has any goes to the tokenizer as a whole.
-_ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000]")
+_ODD_SPACE = {c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r"}
 # Up to U+024F, but for U+0130, lower case is one character for one and nothing is ever composed. An apostrophe
 # may begin a contraction and "<|" a special token, which are no plain runs.
-_NOT_PLAIN = re.compile(r"[^\x00-\u012f\u0131-\u024f]|'|<\|")
-_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
-_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS} \\t\\n\\r]+")
+_PLAIN = {*map(chr, range(0x250))} - {"\u0130", "'"}
+# Kinds of the bytes of such texts in lower case: white space, letters, others. Characters of several bytes are
+# letters, but for those that begin with C2 and these two, the signs of multiplication and division.
+_KINDS = bytes(0 if c in b" \t\n\r" else 1 if c > 127 or chr(c).isalpha() else 2 for c in range(256))
+_SIGNS, _SMALL_LETTERS = (0x97, 0xB7), (0xAA, 0xB5, 0xBA)
 
 
 def default_tokenizer() -> str:
@@ -42,7 +43,7 @@ class Memory:
     def __init__(self, limit: int) -> None:
         self.limit, self.young, self.old = limit, {}, {}
 
-    def missing(self, wanted: set[str]) -> set[str]:
+    def missing(self, wanted: set) -> set:
         """What has to be encoded anew; the rest of ``wanted`` is in ``young`` afterwards."""
         if len(self.young) >= self.limit:
             self.young, self.old = {}, self.young
@@ -82,36 +83,71 @@ class Encoder:
             plain = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *bytewise]}
             self.plain = Tokenizer.from_str(json.dumps(shape | {"normalizer": None, "added_tokens": [], "pre_tokenizer": plain}))
 
-    def _learn(self, missing: set[str], plain: set[str]) -> None:
+    def _learn(self, missing: set[str | bytes]) -> None:
+        """Runs of plain texts are known by their bytes, all other pieces by their text."""
         young = self.known.young
-        simple = [w for w in missing if w.isalpha() and w in plain]
+        texts = {piece: piece if isinstance(piece, str) else piece.decode() for piece in missing}
+        simple = [run for run, text in texts.items() if isinstance(run, bytes) and text.isalpha()]
         parts = [simple[low : low + 1000] for low in range(0, len(simple), 1000)]
-        joined = self.plain.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        joined = self.plain.encode_batch_fast([b" ".join(part).decode() for part in parts], add_special_tokens=False) if parts else []
         for part, found in zip(parts, joined):
             ids = np.array(found.ids, "<u4")
             raw, start = ids.tobytes(), 0
-            for word, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
-                young[word] = raw[start:end]
+            for run, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()):
+                young[run] = raw[start:end]
                 start = end
         rest = list(missing.difference(simple))
-        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False)):
             young[piece] = array("I", found.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split, plain, other = [], set(), set()
-        for text in texts:
-            if not self.by_word or _ODD_SPACE.search(text):
-                split.append([text])
-                other.add(text)
-            elif _NOT_PLAIN.search(text):
-                split.append(text.split())
-                other.update(split[-1])
+        plain, split, other = {}, {}, set()
+        for i, text in enumerate(texts):
+            used = set(text)
+            if not self.by_word or not used.isdisjoint(_ODD_SPACE):
+                split[i] = [text]
+            elif not used <= _PLAIN or "<|" in text:
+                split[i] = text.split()
             else:
-                split.append(_RUNS.findall(text.lower()))
-                plain.update(split[-1])
-        self._learn(self.known.missing(plain | other), plain)
+                plain[i] = text
+                continue
+            other.update(split[i])
+        coded, first = plain_runs(list(plain.values()))
+        runs = coded.dictionary.to_pylist()
+        self._learn(self.known.missing(other.union(runs)))
         known = self.known.young
-        return [b"".join(map(known.__getitem__, row)) for row in split]
+        found = dict(zip(plain, _spelled(list(map(known.__getitem__, runs)), coded.indices.to_numpy(), first)))
+        return [found[i] if i in found else b"".join(map(known.__getitem__, split[i])) for i in range(len(texts))]
+
+
+def plain_runs(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Runs of letters or of other characters of all plain texts in lower case, and where each text's runs begin."""
+    lowered = [f"{text}\n".lower().encode() for text in texts] or [b"\n"]
+    begins = np.cumsum([0, *map(len, lowered)])[: len(texts) + 1]
+    raw = b"".join(lowered)
+    data, kinds = np.frombuffer(raw, np.uint8), np.frombuffer(bytearray(raw.translate(_KINDS)), np.uint8)
+    for lead, odd in ((0xC2, ~np.isin(np.arange(256), _SMALL_LETTERS)), (0xC3, np.isin(np.arange(256), _SIGNS))):
+        at = np.flatnonzero(data == lead)
+        at = at[odd[data[at + 1]]]
+        kinds[at] = kinds[at + 1] = 2
+    bounds = np.concatenate(([0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1, [len(data)]))
+    real = kinds[bounds[:-1]] > 0
+    starts, sizes = bounds[:-1][real], np.diff(bounds)[real]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(raw.translate(None, b" \t\n\r"))]
+    runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), buffers)
+    return runs.dictionary_encode(), np.searchsorted(starts, begins)
+
+
+def _spelled(spellings: list[bytes], index: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Ids of each text: those of its runs, which are numbers of ``spellings``, one after the other."""
+    ids = np.frombuffer(b"".join(spellings), "<u4")
+    counts = np.fromiter(map(len, spellings), np.int64, len(spellings)) // 4
+    each = counts[index]
+    ends = np.concatenate(([0], np.cumsum(each)))
+    places = np.repeat((np.cumsum(counts) - counts)[index] - ends[:-1], each) + np.arange(ends[-1])
+    raw, cuts = ids[places].tobytes(), (4 * ends[first]).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @cache

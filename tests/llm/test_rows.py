@@ -177,6 +177,15 @@ def test_cached_encoding_is_the_tokenizers(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_lower_case_outside_the_plain_characters_ends_no_word(tokenizer):
+    # Two capitals below U+0250 have small letters above U+2C00; signs between letters end a word.
+    texts = ["ȺB Ⱦx aȺ", "", "a×b÷c ªº µm ¿q?", "\n \t", "ß·İx", "don't <|x|>", "a\x0bb", "the the. The\r\nthe"]
+    encode = packing.Encoder(packing.default_tokenizer())
+    for _ in range(2):  # as learned, and as remembered
+        assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encode([]) == []
+
+
 def test_packing_holds_every_piece_once(frame, odd_rows, copied_rows, tokenizer):
     rows = [*odd_rows, *copied_rows]
     found = packing.pack(frame(rows), capacity=256, pool=30).collect()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harness.tables import Landing, tables
 from martloom import schemas
-from martloom.operators import silver
+from martloom.operators import buckets, silver
 from martloom.operators.buckets import BUCKET
 from martloom.plans import daily, kept
 from martloom.sources import files, writers
@@ -147,3 +147,16 @@ def test_parsed_rows_are_stored_without_what_follows_from_them(spark, tmp_path,
     rejects = spark.read.parquet(layers.rejects)
     assert rows(rejects.select("Year", "Month_Name", "Product_Array", "faults")) == [(2024, "March", ["milk", "bread"], ["bad_cost"])]
     assert {n.split(".")[-2] for names in files.data_files(spark, layers.current).values() for n in names} == {"zstd"}
+
+
+def test_buckets_that_held_no_files_are_looked_at_once(spark, tmp_path, monkeypatch):
+    looks, listed = [], buckets.data_files
+    monkeypatch.setattr(buckets, "data_files", lambda s, place: (looks.append(place.rsplit("=", 1)[-1]), listed(s, place))[1])
+    put = lambda names: buckets.replace_buckets(
+        spark.createDataFrame([(1, n) for n in names] or [], "id int, bucket string"), f"{tmp_path}/t", ["n1", "n2"]
+    )
+    put(["n1"])
+    assert looks == ["n1", "n2"]
+    put(["n2"])
+    assert looks[2:] == ["n1", "n2", "n1"]
+    assert [r[0] for r in rows(spark.read.parquet(f"{tmp_path}/t").select("bucket"))] == ["n2"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Observation
 
 from martloom.operators import silver
+from martloom.sources.staging import stage
 
 
 def test_refine_cleans_types_and_keeps_one_row(bronze_of):
@@ -82,3 +83,20 @@ def test_date_diagnostic_counts_every_format(bronze_of):
     bronze = bronze_of({"Date": "2024-01-02"}, {"Date": "03-04-2024"}, {"Date": "?"}, {"Date": None})
     found = {f: n for f, n in rows(silver.date_diagnostic(bronze)) if n}
     assert found == {"MM-dd-yyyy": 1, "dd-MM-yyyy": 1, "unreadable": 2, "yyyy-MM-dd": 1}
+
+
+def test_a_shaped_row_is_shuffled_without_what_follows_from_it(spark, bronze_of):
+    cells = [{"Transaction_ID": t, "Product": p, "Date": d} for t, p, d in (
+        ("1", "['a']", "2024-01-01"), ("1", "['b', 'c']", "2024-02-01"), ("1", "['d']", "2024-01-01"), ("2", "['a']", "2023-05-06"), (None, "['z']", "2024-01-01"))]
+    shaped = stage(silver.shape(bronze_of(*cells)), "shaped")
+    found = silver.latest_of_shaped(shaped)
+    assert found.dtypes == silver.latest_per_transaction(shaped).dtypes
+    # Ties of age are settled as by the whole row.
+    assert sorted(map(str, rows(found))) == sorted(map(str, rows(silver.latest_per_transaction(shaped))))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = silver.refine(bronze_of({}))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    gathered = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "Total_Cost" in gathered and not any(c in gathered for c in silver.DERIVED if c != "Year" and c != "Day" and c != "Month")

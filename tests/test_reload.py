@@ -160,3 +160,15 @@ def test_buckets_that_held_no_files_are_looked_at_once(spark, tmp_path, monkeypa
     put(["n2"])
     assert looks[2:] == ["n1", "n2", "n1"]
     assert [r[0] for r in rows(spark.read.parquet(f"{tmp_path}/t").select("bucket"))] == ["n2"]
+
+
+def test_lists_of_the_landing_files_are_made_behind_the_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = tables(spark, "/root/testdata/sf0.001")._baskets()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan.splitlines()
+    made = next(i for i, line in enumerate(lines) if "partial_collect_list" in line)
+    assert "ObjectHashAggregate" in lines[made - 1] and "Exchange" not in lines[made - 1]
+    assert any("Exchange hashpartitioning(l_orderkey" in line for line in lines[made:])

@@ -162,6 +162,17 @@ def test_buckets_that_held_no_files_are_looked_at_once(spark, tmp_path, monkeypa
     assert [r[0] for r in rows(spark.read.parquet(f"{tmp_path}/t").select("bucket"))] == ["n2"]
 
 
+def test_parts_of_buckets_are_partitions_of_their_own(spark):
+    sales = spark.createDataFrame([(i, 20240101, 1, 2.5, f"n{i % 3}") for i in range(30)], "Transaction_ID long, Date_Key int, Customer_Key int, Total_Cost double, bucket string")
+    bridge = spark.createDataFrame([(i, 7, f"n{i % 3}") for i in range(30)], "Transaction_ID long, Product_Key int, bucket string")
+    found = kept.baskets(sales, bridge, (BUCKET,), ["n0", "n1", "n2", "h5"])
+    # Adaptive execution merges small partitions where the number is left to it.
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"{3 * buckets.SLOTS + 1}), REPARTITION_BY_NUM" in plan and "AQEShuffleRead coalesced" not in plan
+    assert found.count() == 30 and all(len(r["Sales"]) == len(r["Lines"]) == 1 for r in found.collect())
+
+
 def test_lists_of_the_landing_files_are_made_behind_the_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

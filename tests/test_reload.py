@@ -173,6 +173,17 @@ def test_parts_of_buckets_are_partitions_of_their_own(spark):
     assert found.count() == 30 and all(len(r["Sales"]) == len(r["Lines"]) == 1 for r in found.collect())
 
 
+def test_a_load_opens_no_star(spark, tmp_path, raw_row, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("opening the star lists every folder of the warehouse")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(daily.Star, "stored", refuse)
+        counts = daily.load(spark, f"{tmp_path}/lake", _batch(spark, tmp_path, raw_row, "a", {}), "2024-01-01", span=10)
+    star, again = daily.run_daily(spark, f"{tmp_path}/lake", _batch(spark, tmp_path, raw_row, "a", {}), "2024-01-01", span=10)
+    assert again == counts and star.FactSales.count() == 1
+
+
 def test_lists_of_the_landing_files_are_made_behind_the_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -137,6 +137,20 @@ def test_pipeline_stages_drop_what_they_should(spark, docs):
     assert {r["doc_id"] for r in packed} == set(left)
 
 
+def test_near_copies_among_all_rows_are_dropped(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    near, alone = base.replace("word150", "other"), " ".join(f"x{i}" for i in range(300))
+    # The sets of shingles differ, the fingerprints do not.
+    spam = ["spam " * 4000 + " ".join(f"{end}{i}" for i in range(40)) for end in "ab"]
+    rows = [(5, base), (None, near), (None, base.upper()), (7, near), (7, alone), (20, spam[0]), (21, spam[1])]
+    rows += [(None, alone.replace("x", "y"))] * 2 + [(9, alone.replace("x", "z"))] * 2
+    docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id long").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["simhash near-dedup"](spark, docs, GIVEN)
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert kept.columns == docs.columns
+    assert found == sorted([rows[0], rows[4], rows[5], rows[7], *rows[-2:]], key=repr)
+
+
 def test_stages_take_tables_with_nulls_and_none(spark, odd_rows):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for rows in (odd_rows, []):

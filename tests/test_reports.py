@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, timedelta
 from itertools import combinations
 
@@ -6,7 +7,8 @@ from helpers import make_star, rows
 from pyspark.sql import functions as F
 
 from martloom.operators import profile, quality
-from martloom.plans import baskets, customers, sales, views
+from martloom.plans import baskets, customers, kept, sales, views
+from martloom.sources.staging import stage
 
 
 def day(key):
@@ -139,6 +141,34 @@ def baskets_scored(star):
     return baskets.pair_counts(whole), product, F.lit(star.FactSales.select("Transaction_ID").distinct().count())
 
 
+def test_pairs_of_kept_baskets_form_without_a_shuffle_of_baskets(spark):
+    lines = [(t, (t * t + k * k * 3) % (5 + t % 26)) for t in range(90) for k in range(t % 9)] + [(7, 99), (8, None)]
+    facts = [sale(t, 1.0) for t in range(95)]
+    star = make_star(spark, sales=facts, bridge=lines, products=[(p, f"name{p:02}") for p in range(30)])
+    whole = replace(star, Baskets=kept.baskets(star.FactSales, star.FactProductBridge))
+    spellings = baskets.product_spellings(star)
+    listed = baskets.listed_items(replace(whole, Baskets=stage(whole.Baskets, "kept")), spellings)
+    assert sorted(map(repr, rows(listed.filter("size(items) > 0").select("Transaction_ID")))) == sorted(
+        map(repr, rows(star.FactProductBridge.filter("Product_Key IS NOT NULL").select("Transaction_ID").distinct()))
+    )
+    assert "Exchange" not in listed._jdf.queryExecution().executedPlan().toString()
+    for block in (3, 64):  # baskets of up to eight items, cut and whole
+        assert rows(baskets.product_pairs(whole, block=block)) == rows(baskets.product_pairs(star, block=block))
+    # Two spellings of one product: keys are looked up.
+    spelled = make_star(spark, sales=facts, bridge=lines, products=[(p, f"name{p % 9}") for p in range(30)])
+    assert baskets.listed_items(replace(spelled, Baskets=whole.Baskets), baskets.product_spellings(spelled)) is None
+    assert rows(baskets.product_pairs(replace(spelled, Baskets=whole.Baskets))) == rows(baskets.product_pairs(spelled))
+
+
+def test_too_few_rare_products_form_no_pairs_of_their_own(spark, monkeypatch):
+    lines = [(t, p) for t in range(40) for p in range(8)] + [(50, 8), (50, 9)]
+    star = make_star(spark, sales=[sale(t, 1.0) for t in range(60)], bridge=lines, products=[(p, f"n{p}") for p in range(10)])
+    formed, count = [], baskets.pair_counts
+    monkeypatch.setattr(baskets, "pair_counts", lambda *args: formed.append(args) or count(*args))
+    best = rows(baskets.product_pairs(star, shares=(1 / 320,)))
+    assert len(formed) == 1 and len(best) == 10 and best[0][:2] == ("n8", "n9")
+
+
 def test_pairs_of_frequent_products_are_not_formed_where_rare_ones_beat_them(spark, monkeypatch):
     names = [(p, f"name{p:02}") for p in range(40)]
     lines = [(t, p) for t in range(60) for p in range(4)] + [(100 + k, 10 + 2 * k + i) for k in range(12) for i in (0, 1)]
